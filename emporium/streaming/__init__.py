@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reproduced project is a static batch build (a one-time load, full table
+overwrites, no incremental model, no watermark, state or late data), so there
+is no stream to process.  Marts are rebuilt by the batch plans in
+``emporium.plans``.
+"""
