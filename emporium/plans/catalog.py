@@ -53,3 +53,251 @@ MODEL_KEYS = {
 
 for _key, _model in MODEL_KEYS.items():
     register(_key)(lambda spark, sf_dir, _model=_model: models(spark, sf_dir)[_model])
+
+
+# ---------------------------------------------------------------------------
+# Checks, assertions, reconciliation and profiling.
+# Inputs with real violations follow SURVEY §7.3: a check over clean data
+# would pass vacuously.
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from emporium.operators import checks as C  # noqa: E402
+from emporium.operators import profiling as P  # noqa: E402
+from emporium.operators import reconcile as R  # noqa: E402
+from emporium.operators.marts import FCT_ORDERS_COLUMNS  # noqa: E402
+from emporium.plans.suite import run_suite  # noqa: E402
+
+# Fixed values used by the registered checks.
+ACCEPTED_EVENT_TYPES = ("view", "signup", "click", "purchase")
+ID_PREFIXES = ("Customer#000000012", "Customer#00000012", "Nope")
+PENDING_STATUS = "P"
+
+
+def _non_pending_orders(m: Models) -> DataFrame:
+    # the order fact without pending orders: their line items become orphans
+    return m["fct_orders"].where(F.col("order_status") != F.lit(PENDING_STATUS))
+
+
+@register("chk_unique")
+def chk_unique(spark, sf_dir):
+    return C.unique_violations(models(spark, sf_dir)["stg_reviews"], "review_id")
+
+
+@register("chk_not_null")
+def chk_not_null(spark, sf_dir):
+    return C.not_null_violations(models(spark, sf_dir)["fct_orders"], "total_paid_amount")
+
+
+@register("chk_not_null_fused")
+def chk_not_null_fused(spark, sf_dir):
+    return C.null_counts(models(spark, sf_dir)["fct_orders"], FCT_ORDERS_COLUMNS)
+
+
+@register("chk_accepted_values")
+def chk_accepted_values(spark, sf_dir):
+    events = standin.table(spark, sf_dir, "events")
+    return C.accepted_values_violations(events, "event_type", ACCEPTED_EVENT_TYPES)
+
+
+@register("chk_relationships")
+def chk_relationships(spark, sf_dir):
+    docs = standin.table(spark, sf_dir, "documents")
+    labels = standin.table(spark, sf_dir, "labels")
+    return C.relationship_violations(docs, "doc_id", labels, "doc_id")
+
+
+@register("chk_unique_combination")
+def chk_unique_combination(spark, sf_dir):
+    items = models(spark, sf_dir)["stg_order_items"]
+    return C.unique_combination_violations(items, ["order_id", "order_item_id"])
+
+
+@register("chk_orphaned_order_items")
+def chk_orphaned_order_items(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return C.orphaned_order_items(m["fct_order_items"], _non_pending_orders(m))
+
+
+@register("chk_negative_payments")
+def chk_negative_payments(spark, sf_dir):
+    # account balances stand in for payment totals: some are negative
+    c = standin.table(spark, sf_dir, "customer")
+    totals = c.select(
+        F.col("c_custkey").alias("order_id"), F.col("c_acctbal").alias("total_paid_amount")
+    )
+    return C.negative_payment_totals(totals)
+
+
+@register("chk_lookup_fanout")
+def chk_lookup_fanout(spark, sf_dir):
+    return C.lookup_fanout(standin.table(spark, sf_dir, "part"), "p_type")
+
+
+def perturbed_payment_totals(fct_orders: DataFrame) -> DataFrame:
+    """The order fact with deliberately broken totals (missing -> 0, then
+    +0.02 on open orders, outside the tolerance, and +0.005 elsewhere,
+    inside it), so the reconciliation has real mismatches to find."""
+    shift = F.when(F.col("order_status") == F.lit("O"), F.lit(0.02)).otherwise(F.lit(0.005))
+    return fct_orders.withColumn(
+        "total_paid_amount", F.coalesce(F.col("total_paid_amount"), F.lit(0.0)) + shift
+    )
+
+
+@register("rec_payments")
+def rec_payments(spark, sf_dir):
+    m = models(spark, sf_dir)
+    raw_payments = standin.raw_payments(spark, sf_dir)
+    return R.payment_reconciliation(perturbed_payment_totals(m["fct_orders"]), raw_payments)
+
+
+ITEM_LAYERS = ("raw_order_items", "stg_order_items", "int_order_items", "fct_order_items")
+
+
+@register("rec_grain_parity")
+def rec_grain_parity(spark, sf_dir):
+    m = models(spark, sf_dir)
+    layers = [("raw_order_items", standin.raw_order_items(spark, sf_dir))]
+    layers += [(n, m[n]) for n in ITEM_LAYERS[1:]]
+    return R.grain_parity(layers, ["order_id", "order_item_id"])
+
+
+@register("rec_orphans_independent")
+def rec_orphans_independent(spark, sf_dir):
+    m = models(spark, sf_dir)
+    items = m["fct_order_items"].select("order_id", "order_item_id")
+    return R.orphans_by_marker(items, _non_pending_orders(m))
+
+
+MART_PARITY = (
+    ("dim_customers", "stg_customers", "customer_id"),
+    ("dim_sellers", "stg_sellers", "seller_id"),
+    ("dim_products", "stg_products", "product_id"),
+    ("fct_orders", "stg_orders", "order_id"),
+)
+
+
+@register("rec_mart_parity")
+def rec_mart_parity(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return R.mart_parity([(mart, m[mart], m[src], key) for mart, src, key in MART_PARITY])
+
+
+@register("rec_measure_propagation")
+def rec_measure_propagation(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return R.measure_propagation(
+        m["fct_orders"], m["int_order_items_summary"], m["int_order_payments"]
+    )
+
+
+@register("prof_null_totals")
+def prof_null_totals(spark, sf_dir):
+    return R.null_totals(models(spark, sf_dir)["fct_orders"])
+
+
+@register("resolve_id_prefix")
+def resolve_id_prefix(spark, sf_dir):
+    customers = models(spark, sf_dir)["stg_customers"]
+    return R.resolve_prefixes(customers, "customer_unique_id", ID_PREFIXES)
+
+
+# Known-answer expectations for int_order_payments (values of sf0.01);
+# order 4 carries one deliberately wrong field, order -1 does not exist.
+KNOWN_ORDERS = (
+    # order_id, total_paid_amount, installments, cards, opted, distinct types
+    (1, 201488.45, 7, 1, True, 3),
+    (2, None, 12, 2, True, None),  # two cards: installments add up
+    (3, 199332.65, 4, 1, True, 3),
+    (4, 287782.06, 99, 1, True, 3),  # installments deliberately wrong
+    (5, 129674.08, 0, 0, False, 2),  # no card: 0 installments, flag false
+    (-1, 10.0, None, None, None, None),  # no such order
+)
+
+
+@register("chk_known_orders")
+def chk_known_orders(spark, sf_dir):
+    m = models(spark, sf_dir)
+    exp = spark.createDataFrame(list(KNOWN_ORDERS), R.PAYMENT_EXPECTATION_SCHEMA)
+    return R.known_answers(m["int_order_payments"], exp)
+
+
+@register("suite_results")
+def suite_results(spark, sf_dir):
+    return run_suite(models(spark, sf_dir))
+
+
+@register("suite_summary")
+def suite_summary(spark, sf_dir):
+    return R.suite_summary(run_suite(models(spark, sf_dir)))
+
+
+@register("prof_null_counts")
+def prof_null_counts(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return P.null_profiles(
+        {
+            "raw_orders": standin.raw_orders(spark, sf_dir),
+            "raw_products": standin.raw_products(spark, sf_dir),
+            "fct_orders": m["fct_orders"],
+        }
+    )
+
+
+KEY_CANDIDATES = {
+    "raw_payments": ("order_id", "payment_sequential"),
+    "raw_reviews": ("review_id",),
+    "raw_sellers": ("seller_id",),
+    "raw_order_items": ("order_id", "order_item_id"),
+    "raw_product_category_translation": ("product_category_name",),
+}
+
+
+@register("prof_key_duplicates")
+def prof_key_duplicates(spark, sf_dir):
+    raw = standin.raw_tables(spark, sf_dir)
+    return P.key_duplicates({t: (raw[t], keys) for t, keys in KEY_CANDIDATES.items()})
+
+
+def messy_customer_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose city is spelled three ways (upper, lower, trailing
+    blank) depending on the nation, for the casing profile to find."""
+    c = standin.table(spark, sf_dir, "customer")
+    nk, seg = F.col("c_nationkey"), F.col("c_mktsegment")
+    city = (
+        F.when(nk < 8, F.upper(seg))
+        .when(nk < 16, F.lower(seg))
+        .otherwise(F.concat(seg, F.lit(" ")))
+    )
+    return c.select(F.col("c_custkey").alias("customer_id"), city.alias("customer_city"))
+
+
+@register("prof_casing_variants")
+def prof_casing_variants(spark, sf_dir):
+    return P.casing_variants(messy_customer_cities(spark, sf_dir), "customer_city")
+
+
+DOMAIN_COLUMNS = (
+    ("raw_customers", "customer_state"),
+    ("raw_payments", "payment_type"),
+    ("raw_reviews", "review_score"),
+)
+
+
+@register("prof_domain")
+def prof_domain(spark, sf_dir):
+    raw = standin.raw_tables(spark, sf_dir)
+    return P.domains([(t, raw[t], c) for t, c in DOMAIN_COLUMNS])
+
+
+@register("prof_shared_review_ids")
+def prof_shared_review_ids(spark, sf_dir):
+    reviews = standin.raw_reviews(spark, sf_dir)
+    return P.shared_ids(
+        reviews,
+        "review_id",
+        tie_break=["order_id"],
+        columns=["review_id", "order_id", "review_creation_date"],
+        top=20,
+    )

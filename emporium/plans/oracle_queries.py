@@ -1,8 +1,340 @@
-"""Oracle SQL per registered key (DuckDB dialect)."""
+"""Oracle SQL per registered key (DuckDB dialect).
+
+Plain SQL, written the way an analyst would check each result by hand:
+``NOT EXISTS`` / ``LEFT JOIN ... IS NULL`` for key checks, ``HAVING`` for
+duplicates, scalar subqueries for parity counts.
+"""
 
 from __future__ import annotations
 
-from emporium.plans.catalog import MODEL_KEYS
-from emporium.plans.oracle_sql import model_sql
+from emporium.operators.marts import FCT_ORDERS_COLUMNS
+from emporium.operators.reconcile import ITEM_MEASURES, PAYMENT_MEASURES
+from emporium.plans import catalog as Q
+from emporium.plans.oracle_sql import model_sql, sql
+from emporium.plans.suite import ACCEPTED, COMBINATION, NOT_NULL, RELATIONSHIPS, SUITE, UNIQUE
+
+ORACLE: dict[str, str] = {key: model_sql(model) for key, model in Q.MODEL_KEYS.items()}
+
+
+def _lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def _in_list(values) -> str:
+    return ", ".join(_lit(v) for v in values)
+
+
+def _close(a: str, b: str, tol: float = 0.01) -> str:
+    return f"(abs(({a}) - ({b})) <= greatest(1e-9 * greatest(abs({a}), abs({b})), {tol}))"
+
+
+NON_PENDING = f"(SELECT * FROM fct_orders WHERE order_status <> {_lit(Q.PENDING_STATUS)})"
+
+ORACLE["chk_unique"] = sql(
+    """
+    SELECT review_id, count(*) AS n_records FROM stg_reviews
+    WHERE review_id IS NOT NULL GROUP BY review_id HAVING count(*) > 1
+    """
+)
+ORACLE["chk_not_null"] = sql("SELECT * FROM fct_orders WHERE total_paid_amount IS NULL")
+ORACLE["chk_not_null_fused"] = sql(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count FROM fct_orders"
+        for c in FCT_ORDERS_COLUMNS
+    )
+)
+ORACLE["chk_accepted_values"] = f"""
+SELECT event_type, count(*) AS n_records FROM events
+WHERE event_type IS NOT NULL AND event_type NOT IN ({_in_list(Q.ACCEPTED_EVENT_TYPES)})
+GROUP BY event_type
+"""
+ORACLE["chk_relationships"] = """
+SELECT d.doc_id, count(*) AS n_records FROM documents d
+WHERE d.doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+GROUP BY d.doc_id
+"""
+ORACLE["chk_unique_combination"] = sql(
+    """
+    SELECT order_id, order_item_id, count(*) AS n_records FROM stg_order_items
+    GROUP BY order_id, order_item_id HAVING count(*) > 1
+    """
+)
+ORACLE["chk_orphaned_order_items"] = sql(
+    f"""
+    SELECT oi.order_id, oi.order_item_id FROM fct_order_items oi
+    LEFT JOIN {NON_PENDING} o ON oi.order_id = o.order_id
+    WHERE o.order_id IS NULL
+    """
+)
+ORACLE["chk_negative_payments"] = """
+SELECT c_custkey AS order_id, c_acctbal AS total_paid_amount FROM customer WHERE c_acctbal < 0
+"""
+ORACLE["chk_lookup_fanout"] = "SELECT p_type, count(*) AS n FROM part GROUP BY p_type HAVING count(*) > 1"
+
+ORACLE["rec_payments"] = sql(
+    f"""
+    SELECT coalesce(f.order_id, r.order_id) AS order_id,
+           CASE WHEN f.order_id IS NULL THEN 'payment_without_order'
+                WHEN NOT {_close('coalesce(f.total_paid_amount, 0.0)', 'coalesce(r.recomputed, 0.0)')}
+                THEN 'amount_mismatch' END AS issue,
+           coalesce(f.total_paid_amount, 0.0) AS total_paid_amount,
+           round(coalesce(r.recomputed, 0.0), 2) AS recomputed_total
+    FROM perturbed f FULL OUTER JOIN recomputed r ON f.order_id = r.order_id
+    WHERE f.order_id IS NULL
+       OR NOT {_close('coalesce(f.total_paid_amount, 0.0)', 'coalesce(r.recomputed, 0.0)')}
+    """,
+    extra={
+        "perturbed": """
+            SELECT order_id,
+                   coalesce(total_paid_amount, 0.0)
+                   + CASE WHEN order_status = 'O' THEN CAST(0.02 AS DOUBLE)
+                          ELSE CAST(0.005 AS DOUBLE) END AS total_paid_amount
+            FROM fct_orders
+        """,
+        "recomputed": """
+            SELECT order_id, sum(CAST(payment_value AS DOUBLE)) AS recomputed
+            FROM raw_payments WHERE order_id IS NOT NULL GROUP BY order_id
+        """,
+    },
+)
+
+ORACLE["rec_grain_parity"] = sql(
+    """
+    SELECT layer, layer_order, row_count, distinct_keys,
+           row_count = first_value(row_count) OVER (ORDER BY layer_order
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS row_count_matches,
+           distinct_keys = first_value(distinct_keys) OVER (ORDER BY layer_order
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS distinct_keys_match
+    FROM ("""
+    + " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, {i} AS layer_order, count(*) AS row_count, "
+        f"count(DISTINCT (order_id, order_item_id)) AS distinct_keys FROM {layer}"
+        for i, layer in enumerate(Q.ITEM_LAYERS)
+    )
+    + ") AS layers"
+)
+
+ORACLE["rec_orphans_independent"] = ORACLE["chk_orphaned_order_items"]
+
+ORACLE["rec_mart_parity"] = sql(
+    "SELECT mart, mart_rows, source_keys, mart_rows = source_keys AS ok FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, (SELECT count(*) FROM {mart}) AS mart_rows, "
+        f"(SELECT count(DISTINCT {key}) FROM {src}) AS source_keys"
+        for mart, src, key in Q.MART_PARITY
+    )
+    + ") AS parity"
+)
+
+
+def _all_same(cols, alias) -> str:
+    return " AND ".join(f"f.{c} IS NOT DISTINCT FROM {alias}.{c}" for c in cols)
+
+
+ORACLE["rec_measure_propagation"] = sql(
+    f"""
+    SELECT orders_checked, item_mismatches, payment_mismatches,
+           item_mismatches = 0 AND payment_mismatches = 0 AS passed
+    FROM (
+        SELECT count(*) AS orders_checked,
+               count(*) FILTER (WHERE NOT ({_all_same(ITEM_MEASURES, 'i')})) AS item_mismatches,
+               count(*) FILTER (WHERE NOT ({_all_same(PAYMENT_MEASURES, 'p')})) AS payment_mismatches
+        FROM fct_orders f
+        LEFT JOIN int_order_items_summary i ON f.order_id = i.order_id
+        LEFT JOIN int_order_payments p ON f.order_id = p.order_id
+    ) AS s
+    """
+)
+
+ORACLE["prof_null_totals"] = sql(
+    """
+    SELECT order_status, count(*) AS n_orders FROM fct_orders
+    WHERE total_paid_amount IS NULL GROUP BY order_status
+    """
+)
+
+ORACLE["resolve_id_prefix"] = sql(
+    """
+    SELECT w.prefix,
+           CASE WHEN coalesce(h.n, 0) = 0 THEN 'missing' WHEN h.n = 1 THEN 'ok'
+                ELSE 'ambiguous' END AS status,
+           coalesce(h.n, 0) AS n_matches,
+           CASE WHEN h.n = 1 THEN h.any_id END AS resolved_id
+    FROM wanted w LEFT JOIN hits h ON w.prefix = h.prefix
+    """,
+    extra={
+        "wanted": "SELECT * FROM (VALUES "
+        + ", ".join(f"({_lit(p)})" for p in Q.ID_PREFIXES)
+        + ") AS t(prefix)",
+        "hits": """
+            SELECT w.prefix, count(DISTINCT c.customer_unique_id) AS n,
+                   min(c.customer_unique_id) AS any_id
+            FROM stg_customers c JOIN wanted w ON starts_with(c.customer_unique_id, w.prefix)
+            GROUP BY w.prefix
+        """,
+    },
+)
+
+
+def _known_orders_sql() -> str:
+    fields = [
+        "total_paid_amount",
+        "payment_installments_count",
+        "credit_card_count",
+        "payment_installment_opted",
+        "distinct_payment_types_count",
+    ]
+    types = ["BIGINT", "DOUBLE", "BIGINT", "BIGINT", "BOOLEAN", "BIGINT"]
+    rows = ", ".join(
+        "(" + ", ".join(f"CAST({_lit(v)} AS {t})" for v, t in zip(r, types)) + ")"
+        for r in Q.KNOWN_ORDERS
+    )
+    oks = []
+    for f in fields:
+        same = _close(f"a.{f}", f"e.{f}") if f == "total_paid_amount" else f"(a.{f} = e.{f})"
+        oks.append(f"CASE WHEN e.{f} IS NULL THEN TRUE ELSE coalesce({same}, FALSE) END AS {f}_ok")
+    passed = " AND ".join(["a.order_id IS NOT NULL"] + [f"{f}_ok" for f in fields])
+    return sql(
+        f"""
+        SELECT order_id, found, {', '.join(f + '_ok' for f in fields)}, {passed.replace('a.order_id IS NOT NULL', 'found')} AS passed
+        FROM (
+            SELECT e.order_id, a.order_id IS NOT NULL AS found, {', '.join(oks)}
+            FROM expected e LEFT JOIN int_order_payments a ON e.order_id = a.order_id
+        ) AS cmp
+        """,
+        extra={
+            "expected": f"SELECT * FROM (VALUES {rows}) AS t(order_id, {', '.join(fields)})"
+        },
+    )
+
+
+ORACLE["chk_known_orders"] = _known_orders_sql()
+
+
+def _check_sql(ch) -> str:
+    col = ch.columns[0]
+    if ch.kind == NOT_NULL:
+        body = f"SELECT count(*) FROM {ch.model} WHERE {col} IS NULL"
+    elif ch.kind == UNIQUE:
+        body = (
+            f"SELECT count(*) FROM (SELECT {col} FROM {ch.model} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} HAVING count(*) > 1)"
+        )
+    elif ch.kind == COMBINATION:
+        cols = ", ".join(ch.columns)
+        body = f"SELECT count(*) FROM (SELECT {cols} FROM {ch.model} GROUP BY {cols} HAVING count(*) > 1)"
+    elif ch.kind == ACCEPTED:
+        body = (
+            f"SELECT count(DISTINCT {col}) FROM {ch.model} WHERE {col} IS NOT NULL "
+            f"AND {col} NOT IN ({_in_list(ch.values)})"
+        )
+    elif ch.kind == RELATIONSHIPS:
+        body = (
+            f"SELECT count(*) FROM {ch.model} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {ch.to} p WHERE p.{ch.field} = c.{col})"
+        )
+    else:  # pragma: no cover
+        raise ValueError(ch.kind)
+    return (
+        f"SELECT '{ch.check_id}' AS check_id, '{ch.model}' AS model, '{ch.kind}' AS kind, "
+        f"'{','.join(ch.columns)}' AS columns, ({body}) AS failures"
+    )
+
+
+SUITE_SQL_BODY = (
+    "SELECT check_id, model, kind, columns, failures, failures = 0 AS passed FROM ("
+    + " UNION ALL ".join(_check_sql(ch) for ch in SUITE)
+    + ") AS checks"
+)
+ORACLE["suite_results"] = sql(SUITE_SQL_BODY)
+ORACLE["suite_summary"] = sql(
+    """
+    SELECT model, count(*) AS checks, count(*) FILTER (WHERE NOT passed) AS failed_checks,
+           bool_and(passed) AS passed
+    FROM suite GROUP BY model
+    UNION ALL
+    SELECT '*' AS model, count(*) AS checks, count(*) FILTER (WHERE NOT passed) AS failed_checks,
+           bool_and(passed) AS passed
+    FROM suite
+    """,
+    extra={"suite": SUITE_SQL_BODY},
+)
+
+
+def _null_profile_sql(table: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+        f"count(*) - count({c}) AS null_count, count(*) AS row_count FROM {table}"
+        for c in columns
+    )
+
+
+RAW_ORDERS_COLUMNS = (
+    "order_id customer_id order_status order_purchase_timestamp order_approved_at "
+    "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"
+).split()
+RAW_PRODUCTS_COLUMNS = (
+    "product_id product_category_name product_name_lenght product_description_lenght "
+    "product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm"
+).split()
+
+ORACLE["prof_null_counts"] = sql(
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        [
+            _null_profile_sql("raw_orders", RAW_ORDERS_COLUMNS),
+            _null_profile_sql("raw_products", RAW_PRODUCTS_COLUMNS),
+            _null_profile_sql("fct_orders", FCT_ORDERS_COLUMNS),
+        ]
+    )
+    + ") AS p WHERE null_count > 0"
+)
+
+
+def _key_text(cols) -> str:
+    return "concat_ws('|', " + ", ".join(
+        f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in cols
+    ) + ")"
+
+
+ORACLE["prof_key_duplicates"] = sql(
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{','.join(keys)}' AS key_columns, "
+        f"{_key_text(keys)} AS key_value, count(*) AS n_records FROM {t} "
+        f"GROUP BY {', '.join(keys)} HAVING count(*) > 1"
+        for t, keys in Q.KEY_CANDIDATES.items()
+    )
+)
+
+ORACLE["prof_casing_variants"] = """
+SELECT lower(trim(customer_city)) AS norm, count(DISTINCT customer_city) AS variants
+FROM (
+    SELECT c_custkey AS customer_id,
+           CASE WHEN c_nationkey < 8 THEN upper(c_mktsegment)
+                WHEN c_nationkey < 16 THEN lower(c_mktsegment)
+                ELSE c_mktsegment || ' ' END AS customer_city
+    FROM customer
+) AS messy
+GROUP BY lower(trim(customer_city)) HAVING count(DISTINCT customer_city) > 1
+"""
+
+ORACLE["prof_domain"] = sql(
+    " UNION ALL ".join(
+        f"SELECT DISTINCT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM {t}"
+        for t, c in Q.DOMAIN_COLUMNS
+    )
+)
 
-ORACLE: dict[str, str] = {key: model_sql(model) for key, model in MODEL_KEYS.items()}
+ORACLE["prof_shared_review_ids"] = sql(
+    """
+    SELECT review_id, order_id, review_creation_date FROM raw_reviews
+    WHERE review_id IN (SELECT review_id FROM raw_reviews GROUP BY review_id HAVING count(*) > 1)
+    ORDER BY review_id, order_id LIMIT 20
+    """
+)
