@@ -209,7 +209,7 @@ def resolve_prefixes(
 
 PAYMENT_EXPECTATION_SCHEMA = T.StructType(
     [
-        T.StructField("order_id", T.LongType(), False),
+        T.StructField("order_id", T.StringType(), False),
         T.StructField("total_paid_amount", T.DoubleType(), True),
         T.StructField("payment_installments_count", T.LongType(), True),
         T.StructField("credit_card_count", T.LongType(), True),

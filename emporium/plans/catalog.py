@@ -25,8 +25,13 @@ def register(key: str):
     return deco
 
 
+def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The eight raw tables (stand-ins ingested once per session)."""
+    return standin.raw_tables(spark, sf_dir)
+
+
 def models(spark: SparkSession, sf_dir: str, distinct_types: str = "set") -> Models:
-    return build_models(standin.raw_tables(spark, sf_dir), distinct_types)
+    return build_models(raw(spark, sf_dir), distinct_types)
 
 
 # Model keys of SURVEY §2.C/§2.D; the translation staging model is registered
@@ -148,7 +153,7 @@ def perturbed_payment_totals(fct_orders: DataFrame) -> DataFrame:
 @register("rec_payments")
 def rec_payments(spark, sf_dir):
     m = models(spark, sf_dir)
-    raw_payments = standin.raw_payments(spark, sf_dir)
+    raw_payments = raw(spark, sf_dir)["raw_payments"]
     return R.payment_reconciliation(perturbed_payment_totals(m["fct_orders"]), raw_payments)
 
 
@@ -158,7 +163,7 @@ ITEM_LAYERS = ("raw_order_items", "stg_order_items", "int_order_items", "fct_ord
 @register("rec_grain_parity")
 def rec_grain_parity(spark, sf_dir):
     m = models(spark, sf_dir)
-    layers = [("raw_order_items", standin.raw_order_items(spark, sf_dir))]
+    layers = [("raw_order_items", raw(spark, sf_dir)["raw_order_items"])]
     layers += [(n, m[n]) for n in ITEM_LAYERS[1:]]
     return R.grain_parity(layers, ["order_id", "order_item_id"])
 
@@ -207,12 +212,12 @@ def resolve_id_prefix(spark, sf_dir):
 # order 4 carries one deliberately wrong field, order -1 does not exist.
 KNOWN_ORDERS = (
     # order_id, total_paid_amount, installments, cards, opted, distinct types
-    (1, 201488.45, 7, 1, True, 3),
-    (2, None, 12, 2, True, None),  # two cards: installments add up
-    (3, 199332.65, 4, 1, True, 3),
-    (4, 287782.06, 99, 1, True, 3),  # installments deliberately wrong
-    (5, 129674.08, 0, 0, False, 2),  # no card: 0 installments, flag false
-    (-1, 10.0, None, None, None, None),  # no such order
+    ("1", 201488.45, 7, 1, True, 3),
+    ("2", None, 12, 2, True, None),  # two cards: installments add up
+    ("3", 199332.65, 4, 1, True, 3),
+    ("4", 287782.06, 99, 1, True, 3),  # installments deliberately wrong
+    ("5", 129674.08, 0, 0, False, 2),  # no card: 0 installments, flag false
+    ("-1", 10.0, None, None, None, None),  # no such order
 )
 
 
@@ -238,8 +243,8 @@ def prof_null_counts(spark, sf_dir):
     m = models(spark, sf_dir)
     return P.null_profiles(
         {
-            "raw_orders": standin.raw_orders(spark, sf_dir),
-            "raw_products": standin.raw_products(spark, sf_dir),
+            "raw_orders": raw(spark, sf_dir)["raw_orders"],
+            "raw_products": raw(spark, sf_dir)["raw_products"],
             "fct_orders": m["fct_orders"],
         }
     )
@@ -256,8 +261,8 @@ KEY_CANDIDATES = {
 
 @register("prof_key_duplicates")
 def prof_key_duplicates(spark, sf_dir):
-    raw = standin.raw_tables(spark, sf_dir)
-    return P.key_duplicates({t: (raw[t], keys) for t, keys in KEY_CANDIDATES.items()})
+    tables = raw(spark, sf_dir)
+    return P.key_duplicates({t: (tables[t], keys) for t, keys in KEY_CANDIDATES.items()})
 
 
 def messy_customer_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,13 +292,13 @@ DOMAIN_COLUMNS = (
 
 @register("prof_domain")
 def prof_domain(spark, sf_dir):
-    raw = standin.raw_tables(spark, sf_dir)
-    return P.domains([(t, raw[t], c) for t, c in DOMAIN_COLUMNS])
+    tables = raw(spark, sf_dir)
+    return P.domains([(t, tables[t], c) for t, c in DOMAIN_COLUMNS])
 
 
 @register("prof_shared_review_ids")
 def prof_shared_review_ids(spark, sf_dir):
-    reviews = standin.raw_reviews(spark, sf_dir)
+    reviews = raw(spark, sf_dir)["raw_reviews"]
     return P.shared_ids(
         reviews,
         "review_id",

@@ -190,7 +190,7 @@ def _known_orders_sql() -> str:
         "payment_installment_opted",
         "distinct_payment_types_count",
     ]
-    types = ["BIGINT", "DOUBLE", "BIGINT", "BIGINT", "BOOLEAN", "BIGINT"]
+    types = ["VARCHAR", "DOUBLE", "BIGINT", "BIGINT", "BOOLEAN", "BIGINT"]
     rows = ", ".join(
         "(" + ", ".join(f"CAST({_lit(v)} AS {t})" for v, t in zip(r, types)) + ")"
         for r in Q.KNOWN_ORDERS

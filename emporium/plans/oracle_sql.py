@@ -23,7 +23,7 @@ def _cte(name: str, body: str, *deps: str) -> None:
 _cte(
     "raw_orders",
     """
-    SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
+    SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS order_status,
            CAST(o_orderdate AS VARCHAR) AS order_purchase_timestamp,
            CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS VARCHAR) END AS order_approved_at,
            CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS VARCHAR) END AS order_delivered_carrier_date,
@@ -35,8 +35,8 @@ _cte(
 _cte(
     "raw_order_items",
     """
-    SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
-           l_suppkey AS seller_id, CAST(l_shipdate AS VARCHAR) AS shipping_limit_date,
+    SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+           CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id, CAST(l_shipdate AS VARCHAR) AS shipping_limit_date,
            CAST(l_extendedprice AS VARCHAR) AS price, CAST(l_quantity AS VARCHAR) AS freight_value
     FROM lineitem
     """,
@@ -44,7 +44,7 @@ _cte(
 _cte(
     "raw_payments",
     """
-    SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential,
+    SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS payment_sequential,
            CASE l_returnflag WHEN 'N' THEN 'credit_card' WHEN 'R' THEN 'voucher'
                              WHEN 'A' THEN 'boleto' END AS payment_type,
            l_linenumber AS payment_installments,
@@ -55,7 +55,7 @@ _cte(
 _cte(
     "raw_reviews",
     """
-    SELECT o_custkey AS review_id, o_orderkey AS order_id,
+    SELECT CAST(o_custkey AS VARCHAR) AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
            CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS review_score,
            CAST(NULL AS VARCHAR) AS review_comment_title,
            CAST(NULL AS VARCHAR) AS review_comment_message,
@@ -67,7 +67,7 @@ _cte(
 _cte(
     "raw_products",
     """
-    SELECT p_partkey AS product_id,
+    SELECT CAST(p_partkey AS VARCHAR) AS product_id,
            CASE WHEN p_type <> 'LARGE' THEN p_type END AS product_category_name,
            CAST(length(p_name) AS INTEGER) AS product_name_lenght,
            CAST(NULL AS INTEGER) AS product_description_lenght,
@@ -89,7 +89,7 @@ _cte(
 _cte(
     "raw_customers",
     """
-    SELECT c_custkey AS customer_id, c_name AS customer_unique_id,
+    SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
            CAST(c_nationkey AS VARCHAR) AS customer_zip_code_prefix,
            c_mktsegment AS customer_city, CAST(c_nationkey AS VARCHAR) AS customer_state
     FROM customer
@@ -98,7 +98,7 @@ _cte(
 _cte(
     "raw_sellers",
     """
-    SELECT s_suppkey AS seller_id, CAST(s_nationkey AS VARCHAR) AS seller_zip_code_prefix,
+    SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_nationkey AS VARCHAR) AS seller_zip_code_prefix,
            s_name AS seller_city, CAST(s_nationkey AS VARCHAR) AS seller_state
     FROM supplier
     """,
@@ -220,7 +220,7 @@ _cte(
 _cte(
     "int_order_reviews",
     """
-    SELECT md5(CAST(order_id AS VARCHAR) || '~' || CAST(review_id AS VARCHAR)) AS order_review_id,
+    SELECT md5(order_id || '~' || review_id) AS order_review_id,
            order_id, review_id, review_score, review_created_at, review_answered_at
     FROM stg_reviews
     """,

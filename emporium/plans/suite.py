@@ -15,9 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from emporium.operators import checks as C
 
 NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS, COMBINATION = (
     "not_null",
@@ -106,16 +104,6 @@ SUITE: tuple[Check, ...] = tuple(
     + _key("dim_products", "product_id")
 )
 
-RESULT_SCHEMA = T.StructType(
-    [
-        T.StructField("check_id", T.StringType(), False),
-        T.StructField("model", T.StringType(), False),
-        T.StructField("kind", T.StringType(), False),
-        T.StructField("columns", T.StringType(), False),
-    ]
-)
-
-
 def _row_condition(check: Check):
     col = F.col(check.columns[0])
     if check.kind == NOT_NULL:
@@ -124,11 +112,11 @@ def _row_condition(check: Check):
 
 
 def _fused_row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """not_null and accepted_values of one model in one scan.
+    """not_null and accepted_values of one model in one scan, no shuffle.
 
     not_null failures are violating rows; accepted_values failures are the
     distinct offending values, counted with ``count(distinct)`` inside the
-    same aggregate."""
+    same aggregate.  Columns ``(check_id, failures)``."""
     exprs = []
     for ch in checks:
         if ch.kind == NOT_NULL:
@@ -140,46 +128,119 @@ def _fused_row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return df.agg(*exprs).unpivot([], ids, "check_id", "failures")
 
 
-def _grouped_check(models: Mapping[str, DataFrame], ch: Check) -> DataFrame:
+# key-check modes: duplicates (unique, unique_combination) or dangling references
+_DUPLICATES, _DANGLING = 0, 1
+
+
+def _key_rows(
+    models: Mapping[str, DataFrame], ch: Check, index: int, width: int
+) -> list[DataFrame]:
+    """Rows ``(check, mode, k0..k{width-1}, child_rows, parent)`` of one key check.
+
+    ``check`` is the check's small integer index (cheap to hash, unlike its
+    name).  Keys are compared as text so that every check fits one schema; a
+    key shorter than ``width`` is padded with constant nulls, which does not
+    change its grouping."""
+
+    def keyed(df, cols, mode, child_rows, parent):
+        keys = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(cols)]
+        keys += [F.lit(None).cast("string").alias(f"k{i}") for i in range(len(cols), width)]
+        return df.select(
+            F.lit(index).alias("check"),
+            F.lit(mode).cast("tinyint").alias("mode"),
+            *keys,
+            F.lit(child_rows).cast("bigint").alias("child_rows"),
+            F.lit(parent).alias("parent"),
+        )
+
     df = models[ch.model]
     if ch.kind == UNIQUE:
-        v = C.unique_violations(df, ch.columns[0])
-        failures = F.count(F.lit(1))
-    elif ch.kind == COMBINATION:
-        v = C.unique_combination_violations(df, list(ch.columns))
-        failures = F.count(F.lit(1))
-    elif ch.kind == RELATIONSHIPS:
-        v = C.relationship_violations(df, ch.columns[0], models[ch.to], ch.field)
-        failures = F.coalesce(F.sum(C.N), F.lit(0)).cast("bigint")
-    else:  # pragma: no cover - guarded by SUITE construction
-        raise ValueError(ch.kind)
-    return v.agg(failures.alias("failures")).select(F.lit(ch.check_id).alias("check_id"), "failures")
+        c = ch.columns[0]
+        return [keyed(df.where(F.col(c).isNotNull()), [c], _DUPLICATES, 1, False)]
+    if ch.kind == COMBINATION:
+        return [keyed(df, ch.columns, _DUPLICATES, 1, False)]
+    c = ch.columns[0]
+    child = keyed(df.where(F.col(c).isNotNull()), [c], _DANGLING, 1, False)
+    parent_df = models[ch.to]
+    parent = keyed(parent_df.where(F.col(ch.field).isNotNull()), [ch.field], _DANGLING, 0, True)
+    return [child, parent]
+
+
+def _fused_key_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """unique, unique_combination and relationships checks in one shuffle.
+
+    Every check contributes its key rows to one union, tagged by check index;
+    one aggregation by (check, key) counts rows and notes whether a parent
+    key exists.  Partial aggregation runs before the shuffle, so a key holding
+    a third of a table still sends one row per map task.  Failures per check:
+    keys seen more than once (duplicates), or child rows whose key has no
+    parent (relationships).  Columns ``(check_id, failures)``."""
+    width = max(len(ch.columns) for ch in checks)
+    branches = [b for i, ch in enumerate(checks) for b in _key_rows(models, ch, i, width)]
+    rows = branches[0]
+    for b in branches[1:]:
+        rows = rows.unionByName(b)
+    keys = ["check", "mode"] + [f"k{i}" for i in range(width)]
+    per_key = rows.groupBy(*keys).agg(
+        F.sum("child_rows").alias("n"), F.bool_or("parent").alias("has_parent")
+    )
+    failures = (
+        F.when((F.col("mode") == _DUPLICATES) & (F.col("n") > 1), F.lit(1))
+        .when((F.col("mode") == _DANGLING) & ~F.col("has_parent"), F.col("n"))
+        .otherwise(F.lit(0))
+    )
+    per_check = per_key.groupBy("check").agg(F.sum(failures).cast("bigint").alias("failures"))
+    names = {str(i): ch.check_id for i, ch in enumerate(checks)}
+    return per_check.select(
+        _lookup(names, "check", cast="string").alias("check_id"), "failures"
+    )
+
+
+def _lookup(mapping: dict[str, str], key: str, cast: str | None = None):
+    """A literal map lookup (no join): value of ``mapping`` at column ``key``."""
+    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
+    k = F.col(key) if cast is None else F.col(key).cast(cast)
+    return F.create_map(*pairs)[k]
 
 
 def run_suite(models: Mapping[str, DataFrame], suite: Sequence[Check] = SUITE) -> DataFrame:
     """All checks as one DataFrame ``(check_id, model, kind, columns, failures, passed)``.
 
     ``models`` may be lazy plans or published tables; for production runs,
-    pass the published marts so checks read stored tables."""
-    parts: list[DataFrame] = []
+    pass the published marts so checks read stored tables.  One union of
+    (a) one fused key-check aggregate and (b) one scan per model for the
+    row-level checks; only one row per declared check leaves the executors.
+    """
+    key_checks = [ch for ch in suite if ch.kind in (UNIQUE, COMBINATION, RELATIONSHIPS)]
     by_model: dict[str, list[Check]] = {}
     for ch in suite:
         if ch.kind in (NOT_NULL, ACCEPTED):
             by_model.setdefault(ch.model, []).append(ch)
-        else:
-            parts.append(_grouped_check(models, ch))
+    parts: list[DataFrame] = []
+    if key_checks:
+        parts.append(_fused_key_checks(models, key_checks))
     for model, checks in by_model.items():
         parts.append(_fused_row_checks(models[model], checks))
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
+    # a key check whose inputs are empty yields no row: add a zero for every
+    # declared check (one row per check, bounded by the suite definition)
     spark: SparkSession = stacked.sparkSession
-    # one metadata row per declared check: bounded by the suite definition
-    meta = spark.createDataFrame(
-        [(ch.check_id, ch.model, ch.kind, ",".join(ch.columns)) for ch in suite], RESULT_SCHEMA
+    zeros = spark.createDataFrame(
+        [(ch.check_id, 0) for ch in suite], "check_id string, failures bigint"
+    )
+    totals = stacked.unionByName(zeros).groupBy("check_id").agg(
+        F.sum("failures").cast("bigint").alias("failures")
     )
-    return (
-        stacked.join(F.broadcast(meta), "check_id")
-        .select("check_id", "model", "kind", "columns", F.col("failures").cast("bigint").alias("failures"))
-        .withColumn("passed", F.col("failures") == 0)
+    model = {ch.check_id: ch.model for ch in suite}
+    kind = {ch.check_id: ch.kind for ch in suite}
+    columns = {ch.check_id: ",".join(ch.columns) for ch in suite}
+    return totals.select(
+        "check_id",
+        _lookup(model, "check_id").alias("model"),
+        _lookup(kind, "check_id").alias("kind"),
+        _lookup(columns, "check_id").alias("columns"),
+        "failures",
+        (F.col("failures") == 0).alias("passed"),
     )

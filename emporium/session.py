@@ -26,6 +26,9 @@ BASE_CONF = {
 }
 
 
+LOCAL_DRIVER_MEMORY = "12g"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "emporium",
@@ -36,6 +39,10 @@ def build_session(
     if master:
         builder = builder.master(master)
     settings = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM: its heap is the
+        # executor memory (default 1g would spill the aggregations)
+        settings["spark.driver.memory"] = LOCAL_DRIVER_MEMORY
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
@@ -72,3 +79,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem, so shared (non-local)
+    folders such as HDFS or object stores work too."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)

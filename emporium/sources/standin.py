@@ -5,19 +5,28 @@ test table with a fixed column mapping.  Every derivation is a narrow
 projection (no shuffle) except the category lookup, which is a ``distinct``
 over ``part`` (partial aggregation, a handful of output rows).
 
-Values the staging layer casts are emitted as strings, as a CSV would carry
-them, so the casts are exercised.  Ids keep their numeric type: the models
-pass ids through untouched, so string ids (real data) and numeric ids
-(stand-ins) take the same code path.
+Every column has the declared raw type of ``emporium.sources.schemas``:
+ids and the values the staging layer casts (timestamps, money, sizes) are
+text, as a CSV carries them, so the staging casts do real work.
+
+``raw_tables`` ingests the stand-ins once per session into the shared
+checkpoint folder (the equivalent of loading seeds into the warehouse) and
+returns readers over the ingested Parquet through ``sources.load``, the same
+path real raw data takes.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.session import checkpoint_dir, path_exists
+from emporium.sources.raw import load
+from emporium.sources.schemas import RAW_SCHEMAS
+
 # Fixed values of the mapping: payment types stand in for l_returnflag codes,
 # and two part types are treated as a missing / an untranslated category.
 RETURNFLAG_TO_PAYMENT_TYPE = {"N": "credit_card", "R": "voucher", "A": "boleto"}
@@ -44,8 +53,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = _text("o_orderdate")
     not_pending = F.col("o_orderstatus") != F.lit("P")
     return o.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+        _text("o_orderkey").alias("order_id"),
+        _text("o_custkey").alias("customer_id"),
         F.col("o_orderstatus").alias("order_status"),
         day.alias("order_purchase_timestamp"),
         F.when(not_pending, day).alias("order_approved_at"),
@@ -58,10 +67,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").alias("order_id"),
+        _text("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
+        _text("l_partkey").alias("product_id"),
+        _text("l_suppkey").alias("seller_id"),
         _text("l_shipdate").alias("shipping_limit_date"),
         _text("l_extendedprice").alias("price"),
         # whole-unit quantities keep every rounded sum free of half-cent ties
@@ -79,7 +88,7 @@ def _payment_type(flag: Column) -> Column:
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").alias("order_id"),
+        _text("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         _payment_type(F.col("l_returnflag")).alias("payment_type"),
         F.col("l_linenumber").alias("payment_installments"),
@@ -92,8 +101,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = _text("o_orderdate")
     return o.select(
         # all orders of one customer share a review id: the bundled-review case
-        F.col("o_custkey").alias("review_id"),
-        F.col("o_orderkey").alias("order_id"),
+        _text("o_custkey").alias("review_id"),
+        _text("o_orderkey").alias("order_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
         F.lit(None).cast("string").alias("review_comment_title"),
         F.lit(None).cast("string").alias("review_comment_message"),
@@ -106,7 +115,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     size = F.col("p_size").cast("double")
     return p.select(
-        F.col("p_partkey").alias("product_id"),
+        _text("p_partkey").alias("product_id"),
         F.when(F.col("p_type") != F.lit(MISSING_CATEGORY), F.col("p_type")).alias(
             "product_category_name"
         ),
@@ -137,7 +146,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     nation = _text("c_nationkey")
     return c.select(
-        F.col("c_custkey").alias("customer_id"),
+        _text("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_unique_id"),
         nation.alias("customer_zip_code_prefix"),
         F.col("c_mktsegment").alias("customer_city"),
@@ -149,7 +158,7 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     nation = _text("s_nationkey")
     return s.select(
-        F.col("s_suppkey").alias("seller_id"),
+        _text("s_suppkey").alias("seller_id"),
         nation.alias("seller_zip_code_prefix"),
         F.col("s_name").alias("seller_city"),
         nation.alias("seller_state"),
@@ -168,6 +177,49 @@ BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight raw tables as lazy DataFrames."""
+# Bump when the mapping changes, so stale ingested copies are not reused.
+MAPPING_VERSION = "2"
+SOURCE_TABLES = ("orders", "lineitem", "part", "customer", "supplier")
+
+
+def lazy_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All eight raw tables as lazy projections of the test tables (no writes)."""
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+
+
+def _fingerprint(sf_dir: str) -> str:
+    h = hashlib.sha256(MAPPING_VERSION.encode())
+    for t in SOURCE_TABLES:
+        path = os.path.abspath(os.path.join(sf_dir, f"{t}.parquet"))
+        st = os.stat(path)
+        h.update(f"{path}:{st.st_size}:{st.st_mtime_ns};".encode())
+    return h.hexdigest()[:16]
+
+
+def ingest_raw_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Write the eight stand-in raw tables once; returns their folder.
+
+    The folder lives under the session's shared checkpoint folder and is
+    keyed by the input files and the mapping version.  A table is spread over
+    at least as many files as the session has task slots, so later scans run
+    in parallel (the test tables are single row groups, which one task must
+    read); inputs that already arrive in that many partitions are written as
+    they are, without a shuffle.
+    """
+    base = os.path.join(checkpoint_dir(spark), "raw", _fingerprint(sf_dir))
+    slots = spark.sparkContext.defaultParallelism
+    for name, build in BUILDERS.items():
+        target = os.path.join(base, f"{name}.parquet")
+        if path_exists(spark, os.path.join(target, "_SUCCESS")):
+            continue
+        df = build(spark, sf_dir).select(*RAW_SCHEMAS[name].names)
+        if df.rdd.getNumPartitions() < slots:
+            df = df.repartition(slots)
+        df.write.mode("overwrite").parquet(target)
+    return base
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All eight raw tables, read from their ingested copy with declared schemas."""
+    base = ingest_raw_tables(spark, sf_dir)
+    return {name: load(spark, base, name, "parquet") for name in BUILDERS}
