@@ -196,7 +196,8 @@ def resolve_prefixes(
         .groupBy("prefix")
         .agg(F.count_distinct("_id").alias("n_matches"), F.min("_id").alias("_any_id"))
     )
-    out = wanted.join(hits, "prefix", "left")
+    # at most one row per prefix: bounded by the argument, safe to broadcast
+    out = wanted.join(F.broadcast(hits), "prefix", "left")
     n = F.coalesce(F.col("n_matches"), F.lit(0))
     status = F.when(n == 0, "missing").when(n == 1, "ok").otherwise("ambiguous")
     return out.select(

@@ -30,7 +30,7 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return standin.raw_tables(spark, sf_dir)
 
 
-def models(spark: SparkSession, sf_dir: str, distinct_types: str = "set") -> Models:
+def models(spark: SparkSession, sf_dir: str, distinct_types: str = "exact") -> Models:
     return build_models(raw(spark, sf_dir), distinct_types)
 
 

@@ -49,7 +49,7 @@ class Models(Mapping):
         return len(self._builders)
 
 
-def build_models(raw: Mapping[str, DataFrame], distinct_types: str = "set") -> Models:
+def build_models(raw: Mapping[str, DataFrame], distinct_types: str = "exact") -> Models:
     """All staging, intermediate and mart models from the eight raw tables."""
     b: dict[str, Callable[[Models], DataFrame]] = {}
     for name, (source, fn) in STAGING.items():
