@@ -119,3 +119,22 @@ def shared_ids(
     rows = df.join(repeated, id_col, "left_semi").select(*columns)
     ordered = rows.orderBy(id_col, *tie_break)
     return ordered.limit(top) if top is not None else ordered
+
+
+def rows_with_value(df: DataFrame, column: str, value) -> DataFrame:
+    """Rows where ``column`` equals a bound parameter.
+
+    The value is passed as a named SQL parameter, never spliced into text."""
+    spark = df.sparkSession
+    return spark.sql(
+        f"SELECT * FROM {{frame}} WHERE `{column}` = :value", args={"value": value}, frame=df
+    )
+
+
+def preview(df: DataFrame, n: int, *order_by: str) -> DataFrame:
+    """H3/H4: a bounded, ordered sample of a result for display.
+
+    The full result stays a DataFrame; only this display slice is capped,
+    and ordering makes it deterministic."""
+    ordered = df.orderBy(*order_by) if order_by else df.orderBy(*df.columns)
+    return ordered.limit(n)

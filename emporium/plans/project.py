@@ -111,3 +111,12 @@ def publish_marts(
             df.write.mode("overwrite").parquet(path)
             published[name] = spark.read.parquet(path)
     return published
+
+
+def register_views(models: Mapping[str, DataFrame], names=None) -> list[str]:
+    """B1: expose models as temporary views for SQL access (lazy, nothing runs)."""
+    registered = []
+    for name in names or list(models):
+        models[name].createOrReplaceTempView(name)
+        registered.append(name)
+    return registered

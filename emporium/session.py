@@ -54,6 +54,14 @@ def build_session(
     return spark
 
 
+def is_classic(spark: SparkSession) -> bool:
+    """True for a classic (JVM-backed) session; False e.g. for Spark Connect."""
+    try:
+        return spark.sparkContext is not None
+    except Exception:
+        return False
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
@@ -75,9 +83,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable (eager) checkpoint into the shared checkpoint folder.
 
     The result survives executor loss and later plans read it instead of
-    recomputing its lineage.  Never a local checkpoint.
+    recomputing its lineage.  Never a local checkpoint.  (Under Spark Connect
+    the server's own checkpoint folder is used.)
     """
-    checkpoint_dir(df.sparkSession)
+    if is_classic(df.sparkSession):
+        checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

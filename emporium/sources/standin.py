@@ -23,7 +23,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.session import checkpoint_dir, path_exists
+from emporium.session import checkpoint_dir, is_classic, path_exists
 from emporium.sources.raw import load
 from emporium.sources.schemas import RAW_SCHEMAS
 
@@ -220,6 +220,11 @@ def ingest_raw_tables(spark: SparkSession, sf_dir: str) -> str:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight raw tables, read from their ingested copy with declared schemas."""
+    """All eight raw tables, read from their ingested copy with declared schemas.
+
+    Without a classic session (no filesystem access from the driver) the
+    stand-ins are read lazily instead; results are the same."""
+    if not is_classic(spark):
+        return lazy_raw_tables(spark, sf_dir)
     base = ingest_raw_tables(spark, sf_dir)
     return {name: load(spark, base, name, "parquet") for name in BUILDERS}

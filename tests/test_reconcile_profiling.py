@@ -153,3 +153,24 @@ def test_shared_ids_top_k(spark):
     got = [tuple(r) for r in P.shared_ids(d, "review_id", ["order_id"], ["review_id", "order_id"], top=3).collect()]
     assert got == [("r0", "o8"), ("r0", "o9"), ("r1", "o1")]
     assert P.shared_ids(d, "review_id", ["order_id"], ["review_id"], top=None).count() == 4
+
+
+def test_rows_with_bound_value_and_preview(spark):
+    d = df(spark, [("o1'; drop", 1), ("o2", 2), ("o3", 3)], "order_id string, n int")
+    assert rows(P.rows_with_value(d, "order_id", "o1'; drop")) == [("o1'; drop", 1)]
+    assert [tuple(r) for r in P.preview(d, 2, "n").collect()] == [("o1'; drop", 1), ("o2", 2)]
+
+
+def test_null_count_expression(spark):
+    from emporium.functions.expressions import null_count
+
+    d = df(spark, [(None,), ("a",), (None,)], "x string")
+    assert d.agg(null_count("x").alias("n")).first().n == 2
+
+
+def test_register_views(spark):
+    from emporium.plans.project import register_views
+
+    m = {"tiny_model": df(spark, [("a",)], "x string")}
+    assert register_views(m) == ["tiny_model"]
+    assert spark.sql("SELECT count(*) AS n FROM tiny_model").first().n == 1
