@@ -189,11 +189,17 @@ def _fused_key_checks(models: Mapping[str, DataFrame], checks: Sequence[Check])
         .when((F.col("mode") == _DANGLING) & ~F.col("has_parent"), F.col("n"))
         .otherwise(F.lit(0))
     )
-    per_check = per_key.groupBy("check").agg(F.sum(failures).cast("bigint").alias("failures"))
-    names = {str(i): ch.check_id for i, ch in enumerate(checks)}
-    return per_check.select(
-        _lookup(names, "check", cast="string").alias("check_id"), "failures"
+    # one global aggregate with a conditional sum per check: exactly one row
+    # per check even when its inputs are empty, and no shuffle on the check id
+    per_check = per_key.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("check") == i, failures)), F.lit(0))
+            .cast("bigint")
+            .alias(ch.check_id)
+            for i, ch in enumerate(checks)
+        ]
     )
+    return per_check.unpivot([], [ch.check_id for ch in checks], "check_id", "failures")
 
 
 def _lookup(mapping: dict[str, str], key: str, cast: str | None = None):
@@ -209,7 +215,8 @@ def run_suite(models: Mapping[str, DataFrame], suite: Sequence[Check] = SUITE) -
     ``models`` may be lazy plans or published tables; for production runs,
     pass the published marts so checks read stored tables.  One union of
     (a) one fused key-check aggregate and (b) one scan per model for the
-    row-level checks; only one row per declared check leaves the executors.
+    row-level checks; each branch yields exactly one row per check, so only
+    one row per declared check leaves the executors.
     """
     key_checks = [ch for ch in suite if ch.kind in (UNIQUE, COMBINATION, RELATIONSHIPS)]
     by_model: dict[str, list[Check]] = {}
@@ -221,18 +228,9 @@ def run_suite(models: Mapping[str, DataFrame], suite: Sequence[Check] = SUITE) -
         parts.append(_fused_key_checks(models, key_checks))
     for model, checks in by_model.items():
         parts.append(_fused_row_checks(models[model], checks))
-    stacked = parts[0]
+    totals = parts[0]
     for p in parts[1:]:
-        stacked = stacked.unionByName(p)
-    # a key check whose inputs are empty yields no row: add a zero for every
-    # declared check (one row per check, bounded by the suite definition)
-    spark: SparkSession = stacked.sparkSession
-    zeros = spark.createDataFrame(
-        [(ch.check_id, 0) for ch in suite], "check_id string, failures bigint"
-    )
-    totals = stacked.unionByName(zeros).groupBy("check_id").agg(
-        F.sum("failures").cast("bigint").alias("failures")
-    )
+        totals = totals.unionByName(p)
     model = {ch.check_id: ch.model for ch in suite}
     kind = {ch.check_id: ch.kind for ch in suite}
     columns = {ch.check_id: ",".join(ch.columns) for ch in suite}
@@ -241,6 +239,6 @@ def run_suite(models: Mapping[str, DataFrame], suite: Sequence[Check] = SUITE) -
         _lookup(model, "check_id").alias("model"),
         _lookup(kind, "check_id").alias("kind"),
         _lookup(columns, "check_id").alias("columns"),
-        "failures",
+        F.col("failures").cast("bigint").alias("failures"),
         (F.col("failures") == 0).alias("passed"),
     )
