@@ -120,3 +120,24 @@ def register_views(models: Mapping[str, DataFrame], names=None) -> list[str]:
         models[name].createOrReplaceTempView(name)
         registered.append(name)
     return registered
+
+
+def build_and_test(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    out_dir: str,
+    bucket_facts: int | None = None,
+):
+    """Build every model, publish the marts, then run the check suite.
+
+    Checks of the marts read the stored tables (as after a table
+    materialization); checks of staging and intermediate models read their
+    lazy plans (views).  Returns ``(published marts, suite results)``; the
+    results are one row per declared check.
+    """
+    from emporium.plans.suite import run_suite
+
+    models = build_models(raw)
+    marts = publish_marts(spark, models, out_dir, bucket_facts)
+    checked = {name: (marts[name] if name in marts else models[name]) for name in models}
+    return marts, run_suite(checked)

@@ -117,3 +117,45 @@ def test_publish_marts_bucketed_facts_join_without_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("fct_order_items", "fct_orders"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_build_and_test_pipeline_matches_lazy_suite(spark):
+    from emporium.plans.project import build_and_test
+    from emporium.plans.suite import run_suite
+    from emporium.sources import standin
+
+    raw = standin.raw_tables(spark, SF_SMALL)
+    marts, results = build_and_test(spark, raw, _scratch())
+    stored = {r.check_id: r.failures for r in results.collect()}
+    lazy = {r.check_id: r.failures for r in run_suite(models(spark, SF_SMALL)).collect()}
+    assert len(stored) == 53 and stored == lazy
+    assert set(marts) == {"dim_customers", "dim_sellers", "dim_products", "fct_order_items", "fct_orders"}
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One order holds a third of all payment and item rows: aggregates
+    combine map-side (partial aggregation before the exchange) and results
+    stay exact."""
+    from pyspark.sql import functions as F
+
+    from emporium.operators import checks as C
+    from emporium.operators.intermediate import int_order_payments
+
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("order_id"),
+        F.col("id").cast("int").alias("payment_sequential"),
+        F.when(F.col("id") % 2 == 0, F.lit("credit_card")).otherwise(F.lit("voucher")).alias("payment_type"),
+        F.lit(2).alias("payment_installments"),
+        F.lit(1.5).alias("payment_value"),
+    ).repartition(8)
+    pays = int_order_payments(base)
+    hot = pays.where("order_id = 'hot'").first()
+    assert hot.total_paid_amount == 15000.0 and hot.credit_card_count == 5000
+    assert hot.payment_installments_count == 10000 and hot.distinct_payment_types_count == 2
+    plan = pays._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") > plan.index("Exchange hashpartitioning")  # partial below the exchange
+    orders = base.select("order_id").distinct().where("order_id <> 'hot'")
+    items = base.select("order_id", F.col("payment_sequential").alias("order_item_id"))
+    assert C.orphaned_order_items(items, orders).count() == n // 3
+    assert C.relationship_violations(items, "order_id", orders, "order_id").first().n_records == n // 3
