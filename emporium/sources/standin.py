@@ -226,14 +226,14 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     stand-ins are read lazily instead; results are the same."""
     if not is_classic(spark):
         return lazy_raw_tables(spark, sf_dir)
-    key = (id(spark), checkpoint_dir(spark), _fingerprint(sf_dir))
+    key = (spark.sparkContext.applicationId, checkpoint_dir(spark), _fingerprint(sf_dir))
     if key not in _READERS:
         base = ingest_raw_tables(spark, sf_dir)
         _READERS[key] = {name: load(spark, base, name, "parquet") for name in BUILDERS}
     return dict(_READERS[key])
 
 
-# Readers over ingested copies, per (session, checkpoint folder, input
-# fingerprint).  The ingested folders are never rewritten, so the lazy
+# Readers over ingested copies, per (application, checkpoint folder, input
+# fingerprint); a new SparkContext never sees readers of a stopped one.  The ingested folders are never rewritten, so the lazy
 # readers (and their file listings) can be reused by every query.
 _READERS: dict[tuple, dict[str, DataFrame]] = {}
