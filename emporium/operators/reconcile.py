@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporium.functions.expressions import has_prefix, is_close, money_round, null_safe_equal
+from emporium.functions.expressions import is_close, money_round, null_safe_equal
 from emporium.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast, distinct_keys
 
 TOLERANCE = 0.01
@@ -180,19 +180,29 @@ def resolve_prefixes(
     ``status`` is ``ok`` (one distinct id, given in ``resolved_id``),
     ``missing`` (none) or ``ambiguous`` (several; ``n_matches`` says how many).
     The prefix list is the caller's argument, bounded by its length, and is
-    broadcast into an *inner* non-equi join, so the id table is scanned once
-    and never shuffled; only matching ids are aggregated.  The tiny result
-    is then joined back to the prefixes to report the missing ones.
-    Prefixes are plain text: ``_`` and ``%`` match themselves.
+    broadcast into an *inner* hash join on the id's leading characters, so
+    the id table is scanned once and never shuffled; only matching ids are
+    aggregated.  The tiny result is then joined back to the prefixes to
+    report the missing ones.  Prefixes are plain text: ``_`` and ``%`` match
+    themselves.
     """
     spark: SparkSession = ids.sparkSession
     wanted = spark.createDataFrame(
         [(p,) for p in dict.fromkeys(prefixes)],
         T.StructType([T.StructField("prefix", T.StringType(), False)]),
     )
+    fold = F.lower if case_insensitive else (lambda c: c)
+    # Equi-join on the id's head: one scan emits, per id, its first L
+    # characters for each distinct prefix length L (a handful), which are
+    # hash-joined to the broadcast prefixes.  No nested-loop join, and no
+    # wildcard meaning for '_' or '%'.
+    lengths = sorted({len(p) for p in prefixes})
+    heads = ids.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).select(
+        "_id", F.explode(F.array(*[F.substring("_id", 1, n) for n in lengths])).alias("_head")
+    )
+    keyed = wanted.select("prefix", fold(F.col("prefix")).alias("_key"))
     hits = (
-        ids.select(F.col(id_col).alias("_id"))
-        .join(F.broadcast(wanted), has_prefix("_id", "prefix", case_insensitive))
+        heads.join(F.broadcast(keyed), fold(F.col("_head")) == F.col("_key"))
         .groupBy("prefix")
         .agg(F.count_distinct("_id").alias("n_matches"), F.min("_id").alias("_any_id"))
     )

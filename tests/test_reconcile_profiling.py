@@ -174,3 +174,11 @@ def test_register_views(spark):
     m = {"tiny_model": df(spark, [("a",)], "x string")}
     assert register_views(m) == ["tiny_model"]
     assert spark.sql("SELECT count(*) AS n FROM tiny_model").first().n == 1
+
+
+def test_has_prefix_plain_and_case_insensitive(spark):
+    from emporium.functions.expressions import has_prefix
+
+    d = df(spark, [("Abc%1",), ("abcx",), (None,)], "id string")
+    got = [tuple(r) for r in d.select(has_prefix("id", F.lit("Abc%")).alias("a"), has_prefix("id", F.lit("abc"), True).alias("b")).collect()]
+    assert got == [(True, True), (False, True), (None, None)]
