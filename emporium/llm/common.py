@@ -97,3 +97,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def drop_scratch(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete scratch tables that no later step reads (made by ``stored``)."""
+    root = checkpoint_dir(spark)
+    jvm = spark.sparkContext._jvm
+    for df in frames:
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if path.toUri().getPath().startswith(jvm.org.apache.hadoop.fs.Path(root).toUri().getPath() + "/"):
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

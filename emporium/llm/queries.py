@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import packing, token_counts, token_store
+from emporium.llm import jaccard_join, packing, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -28,6 +28,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_table(table(spark, sf_dir, "documents"), tokenizer_file(), limit=2048, keep_steps=False)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "limit_bytes")
@@ -36,6 +40,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_token_counts": op5_token_counts,
 }
 
