@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import jaccard_join, packing, token_counts, token_store
+from emporium.llm import jaccard_join, packing, quality, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -37,11 +37,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "limit_bytes")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.verdicts(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_token_counts": op5_token_counts,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
