@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import jaccard_join, packing, quality, token_counts, token_store
+from emporium.llm import decontam, jaccard_join, packing, quality, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -42,12 +42,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_token_counts": op5_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
