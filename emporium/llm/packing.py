@@ -58,8 +58,9 @@ def pack(
             raise OverflowError("more tasks than sequence ids allow")
         for batch in slices(batches, 500):
             rows = []
-            for doc, text in zip(*batch_rows(batch, "doc_id", "text"), strict=True):
-                ids = np.append(enc.ids(text), end_id).astype("<u4")
+            docs, texts = batch_rows(batch, "doc_id", "text")
+            for doc, found in zip(docs, enc.ids(texts), strict=True):
+                ids = np.append(found.astype("<u4"), np.uint32(end_id))
                 start = 0
                 for length in piece_lengths(len(ids), max_len):
                     bucket = length.bit_length() - 1

@@ -30,14 +30,17 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, limit_bytes long, steps binary"
 
 
-def steps_of(text: bytes, tokenizer_path: str) -> np.ndarray:
-    """Change of the token count at each byte of ``text``."""
+def steps_of(texts: list[bytes], tokenizer_path: str) -> list[np.ndarray]:
+    """Change of the token count at each byte of each text."""
     enc = encoder(tokenizer_path)
     if not enc.by_word:
         raise ValueError(f"{tokenizer_path}: prefix counts need a tokenizer that never looks across white space")
-    steps = np.zeros(len(text), "<i4")
-    steps[~SPACE[np.frombuffer(text, np.uint8)]] = np.frombuffer(b"".join(map(enc.steps, text.split())), "<i4")
-    return steps
+    out = []
+    for text, found in zip(texts, enc.steps(texts), strict=True):
+        steps = np.zeros(len(text), "<i4")
+        steps[~SPACE[np.frombuffer(text, np.uint8)]] = found
+        out.append(steps)
+    return out
 
 
 def tokens_at(steps: np.ndarray, n_bytes: int) -> int:
@@ -77,8 +80,7 @@ def prefix_table(
         for batch in slices(batches, 1000):
             ids, texts = batch_rows(batch, "doc_id", "text")
             sizes, tokens, cuts, tables = [], [], [], []
-            for text in texts:
-                steps = steps_of(text, tokenizer_path)
+            for text, steps in zip(texts, steps_of(texts, tokenizer_path), strict=True):
                 counts = np.cumsum(steps, dtype=np.int64)
                 sizes.append(len(text))
                 tokens.append(int(counts[-1]) if len(counts) else 0)

@@ -50,7 +50,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, n_docs: int = DICT_DO
         .collect()
     )
     enc = encoder(tokenizer_path)
-    samples = [enc.ids(r["text"].encode()).tobytes() for r in rows]
+    samples = [ids.tobytes() for ids in enc.ids([r["text"].encode() for r in rows])]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -98,8 +98,9 @@ def write_store(
             return pa.RecordBatch.from_pylist([row], schema=ARROW_BLOCKS)
 
         for batch in slices(batches, 1000):
-            for doc, text in zip(*batch_rows(batch, "doc_id", "text"), strict=True):
-                ids = np.append(enc.ids(text), enc.dtype.type(end_id))
+            own, texts = batch_rows(batch, "doc_id", "text")
+            for doc, found in zip(own, enc.ids(texts), strict=True):
+                ids = np.append(found, enc.dtype.type(end_id))
                 frame = pack(ids.tobytes())
                 index.append((doc or 0, doc is None, size, len(frame), len(ids)))
                 frames.append(frame)
