@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, jaccard_join, packing, quality, token_counts, token_store
+from emporium.llm import decontam, jaccard_join, kn_lm, packing, quality, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -42,6 +42,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    held_out = F.coalesce(remainder == 2, F.lit(False))
+    model = kn_lm.train(docs.where(~held_out), scratch(spark, "kn-model"))
+    scored = kn_lm.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op5_token_counts": op5_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
 }
 
