@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, jaccard_join, kn_lm, packing, quality, token_counts, token_store
+from emporium.llm import decontam, jaccard_join, kn_lm, packing, quality, secrets, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -37,6 +37,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "limit_bytes")
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.verdicts(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_token_counts": op5_token_counts,
+    "op6_secret_scans": op6_secret_scans,
     "op7_quality_rules": op7_quality_rules,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
