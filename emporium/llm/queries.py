@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, jaccard_join, kn_lm, packing, quality, secrets, token_counts, token_store
+from emporium.llm import decontam, jaccard_join, kn_lm, licences, packing, quality, secrets, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -59,6 +59,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licensed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
+    "op10_licence_scans": op10_licence_scans,
 }
 
 ORACLE: dict[str, str] = {}
