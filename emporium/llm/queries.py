@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, jaccard_join, kn_lm, licences, packing, quality, secrets, token_counts, token_store
+from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, packing, quality, secrets, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -32,6 +32,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_model.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_table(table(spark, sf_dir, "documents"), tokenizer_file(), limit=2048, keep_steps=False)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "limit_bytes")
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_html_extraction": op4_html_extraction,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scans": op6_secret_scans,
     "op7_quality_rules": op7_quality_rules,
