@@ -39,9 +39,9 @@ BOILER = {
     "footer": "footer bottom copyright legal colophon credits foot",
     "aside": "sidebar aside widget rail related recommended trending popular archive tags tagcloud",
     "ad": "ad ads advert advertisement adsense sponsor sponsored promo promotion commercial",
-    "notice": "notice cookie cookies consent gdpr alert popup modal overlay paywall warning newsletter subscribe signup",
+    "notice": "notice cookie cookies consent gdpr alert popup modal overlay paywall warning disclaimer newsletter subscribe signup",
     "form": "form search login contact register feedback",
-    "comments": "comments comment commentlist discussion respond replies reply disqus reviews thread",
+    "comments": "comments comment commentlist discussion respond replies reply disqus reviews thread reader",
     "share": "share social sharing follow buttons meta byline author",
 }
 CONTENT = "article content main post entry story body text page maincontent articlebody"
@@ -49,7 +49,7 @@ CONTENT = "article content main post entry story body text page maincontent arti
 VARIANTS = 8  # labelled pages for each name of boilerplate
 # The five measures of a block of text say partly the same; their joint
 # log-odds count by this share, so that they do not outweigh names and place.
-TEXT_SHARE = 0.3
+TEXT_SHARE = 0.25
 
 SENTENCE = "The council met on Tuesday to talk about the new bridge and the road that leads to it."
 LONG = " ".join([SENTENCE] * 3)
@@ -71,7 +71,7 @@ def _boiler(kind: str, name: str, i: int) -> str:
         "ad": say,
         "notice": f"<p>{say} <button>Accept</button></p>" if i % 2 else f"{say}",
         "form": "<form><label>Name</label><input><p>Fill in all fields.</p><button>Send</button></form>",
-        "comments": f"<h3>Comments</h3><ol><li><p>{LONG}</p></li><li><p>{SENTENCE}</p></li></ol>" if i % 2 else f"<div>{LONG}</div><p>{SENTENCE}</p>",
+        "comments": (f"<h3>Comments</h3><ol><li><p>{LONG}</p></li><li><p>{SENTENCE}</p></li></ol>", f"<div>{LONG}</div><p>{SENTENCE}</p>", f"<article><p>{LONG}</p></article>")[i % 3],
         "share": "<a href='a'>Share</a> <a href='b'>Tweet</a>" if i % 2 else "<span>By A. Writer</span>",
     }[kind]
     own = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form"}.get(kind, "section")
@@ -92,6 +92,7 @@ def labelled_pages() -> Iterator[str]:
         tag = ("article", "main", "div", "section", "div")[i % 5]
         holder = f"<{tag}>" if tag in ("article", "main") else f"<{tag} {'id' if i % 4 == 0 else 'class'}='{names[i % len(names)]}'>"
         title = f"<h1>{SENTENCE if i % 2 else 'A new bridge'}</h1>"
+        title = f"<header>{title}</header>" if i % 6 == 3 else title
         lists = f"<ul><li>{SENTENCE}</li><li>One point</li></ul>" if i % 3 == 0 else ""
         quote = f"<blockquote><p>{SENTENCE}</p></blockquote><h2>More</h2>" if i % 4 == 1 else ""
         table = "<table><tr><th>Year</th><td>1999</td></tr></table>" if i % 7 == 2 else ""
@@ -99,14 +100,14 @@ def labelled_pages() -> Iterator[str]:
         inside, after = (this, "") if i % 3 == 2 else ("", this)
         content = f"{holder[:-1]} data-content>{title}{_paragraphs(2 + i % 4)}{inside}{quote}{lists}{table}{_paragraphs(1 + i % 2)}</{tag}>"
         around = [_boiler(k, n, i + j) for j, (k, n) in enumerate(bare)]
-        body = around[0] + (around[1] if i % 2 else "") + content + after + (around[3] if i % 2 == 0 else "") + around[2]
+        body = around[0] + (around[1] if i % 3 else "") + content + after + (around[3] if i % 2 == 0 else "") + around[2]
         yield f"<body>{'<div class=wrapper>' + body + '</div>' if i % 3 else body}</body>"
 
 
 class Model:
     """Log-odds of the features, and child-given-parent probabilities."""
 
-    def __init__(self, pages: Iterable[str], smoothing: float = 0.2, name_smoothing: float = 0.02):
+    def __init__(self, pages: Iterable[str], smoothing: float = 1.5, name_smoothing: float = 0.02):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         nodes = [0, 0]
         pairs: dict[bool, Counter] = defaultdict(Counter)
