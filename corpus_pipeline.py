@@ -1,7 +1,11 @@
 """The training-data pipeline over ``documents``.
 
 ``STAGES`` are applied in order; each stage's rows are written as Parquet to
-the shared folder and read again as the next one's documents.
+the shared folder and read again as the next one's documents.  All but the last
+return the columns of their input.
+
+Rows of a null id are kept by the stages that find documents by id (they can be
+linked to nothing); a null or empty text is rejected by the quality rules.
 """
 
 from __future__ import annotations
@@ -9,24 +13,62 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-from emporium.llm import packing
+from emporium.llm import decontam, jaccard_join, packing, quality, secrets
 from emporium.llm.common import stored, table
 from emporium.llm.queries import tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the likelihood-ratio verdict.  The
+    raw multinomial is that of the stage's own documents."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judged(docs, model).where("__verdict.kept").drop("__verdict")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies (five words, 0.8): the one
+    of the smallest id, once."""
+    found = jaccard_join.classes(docs, k=5, num=80, den=100)
+    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
+    kept = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
+    first = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    once = kept.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
+    return once.unionByName(docs.where("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    ids = stored(leaks.select(F.col("doc_id").alias("__leak")).where("__leak is not null").distinct(), "pipeline-leaks")
+    return docs.join(ids, F.col("doc_id") == F.col("__leak"), "left_anti")
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its secrets replaced by a mark."""
+    return secrets.redacted(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: the pieces of every document that is left."""
-    return packing.pack(docs, tokenizer_file(), end_id=1, max_len=2048)
+    """The pieces of every document that is left, and the digest of their ids."""
+    pieces = packing.pack(docs, tokenizer_file(), end_id=1, max_len=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontaminate),
+    ("secret_scans", hide_secrets),
     ("packing", pack),
 ]
 
-# Token ids come from a tokenizer library, which SQL cannot express.
+# Token ids come from a tokenizer library and the quality verdict from hashed
+# features, which SQL cannot express; tests hold the stages to brute force.
 ORACLE_SQL = None
 
 

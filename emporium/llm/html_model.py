@@ -107,7 +107,7 @@ def labelled_pages() -> Iterator[str]:
 class Model:
     """Log-odds of the features, and child-given-parent probabilities."""
 
-    def __init__(self, pages: Iterable[str], smoothing: float = 1.5, name_smoothing: float = 0.02):
+    def __init__(self, pages: Iterable[str], smoothing: float = 4.0, name_smoothing: float = 0.02):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         nodes = [0, 0]
         pairs: dict[bool, Counter] = defaultdict(Counter)
