@@ -180,7 +180,12 @@ def classes(
     tried = first.alias("p").join(info.alias("a"), F.expr("p.hub = a.id")).join(info.alias("b"), F.expr("p.id = b.id"))
     tried = stored(tried.where(_may_link("a", "b", num, den)).select(F.col("p.hub").alias("a"), F.col("p.id").alias("b")).distinct(), "join-first")
     links = _verified(docs, tried, k, num, den)
-    label = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    # an id of several sets holds them together
+    sets = linked.groupBy("doc_id").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("set_a", "set_b")))
+    several = sets.where("min_set_a <> max_set_a or min_set_b <> max_set_b").select("doc_id")
+    held = linked.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("u"), "set_a", "set_b")
+    held = held.join(nodes.select("set_a", "set_b", F.col("doc_id").alias("v")), ["set_a", "set_b"]).select("u", "v")
+    label = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(held))
 
     # every other pair that shares a key and is not yet in one component
     named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))

@@ -9,8 +9,8 @@ encoding anything again.
 
 Defined results: a null or empty text has 0 bytes, 0 tokens and an empty table;
 a null id stays a null id; repeated rows give one result row each.  Inside a
-run of over 64 letters, digits or signs the table is exact at the run's end
-only, and ``longest_prefix`` never cuts there.
+run of over 64 letters or signs the table holds the count at the run's end, so
+that ``longest_prefix`` never cuts there.
 """
 
 from __future__ import annotations

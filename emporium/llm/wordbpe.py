@@ -191,7 +191,7 @@ class WordEncoder:
         """Change of the count at each byte of a piece.  The prefixes of a
         contraction are cut otherwise than itself, so they go to the library."""
         if len(piece) > LONG_PIECE:
-            return spread(piece, [0] * (len(piece) - 1) + [len(self._model(piece))])
+            return spread(piece, [len(self._model(piece))] * len(piece))
         if piece[0] == "'" and len(piece) > 1:
             return spread(piece, [len(self._library(piece[:i])) for i in range(1, len(piece) + 1)])
         return spread(piece, [self._prefix(piece[:i]) for i in range(1, len(piece) + 1)])
@@ -200,7 +200,7 @@ class WordEncoder:
         text = word.decode()
         if len(text) <= LONG_PIECE:
             return spread(text, [len(self._library(text[:i])) for i in range(1, len(text) + 1)])
-        return spread(text, [0] * (len(text) - 1) + [len(self._library(text))])
+        return spread(text, [len(self._library(text))] * len(text))
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of whole texts, in the smallest width that holds the vocabulary."""
