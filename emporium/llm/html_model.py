@@ -1,13 +1,13 @@
 """Main text of web pages by a tree-structured graphical model.
 
 Every node of a page's tree (block elements and blocks of text) has a hidden
-label: does it hold main content or not.  A node's tag, names (class, id, role)
-and text measures depend on its label; a child's label depends on its parent's.
+label: does it hold main content or not.  Node potentials weigh its tag, names
+(class, id, role) and text measures; parent-child potentials connect the nodes.
 Sum-product messages pass from the leaves up and from the root down, which
 gives each node's exact marginal; a block of text whose content marginal is
 over one half is kept.
 
-The probabilities are counts over labelled pages, smoothed.  ``labelled_pages``
+The weights are trained on labelled pages.  ``labelled_pages``
 builds these pages by rule: the usual page layouts with the usual names of menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments.  Pages
 with ``data-content`` / ``data-boiler`` marks of one's own can be given to
@@ -20,10 +20,10 @@ empty text; null ids and urls stay null; repeated rows give a row each.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from math import log
+from math import exp, log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,18 +46,16 @@ BOILER = {
 }
 CONTENT = "article content main post entry story body text page maincontent articlebody"
 
-VARIANTS = 8  # labelled pages for each name of boilerplate
-# The five measures of a block of text say partly the same; their joint
-# log-odds count by this share, so that they do not outweigh names and place.
-TEXT_SHARE = 0.25
+VARIANTS = 4  # labelled pages for each name of boilerplate
+ROUNDS = 12
 
 SENTENCE = "The council met on Tuesday to talk about the new bridge and the road that leads to it."
 LONG = " ".join([SENTENCE] * 3)
 
 
-def _paragraphs(n: int) -> str:
-    sized = [LONG, SENTENCE, f"{LONG} <a href='x'>A source</a> says so.", "It rained.", f"<b>{SENTENCE}</b> {LONG}"]
-    return "".join(f"<p>{sized[i % len(sized)]}</p>" for i in range(n))
+def _paragraphs(n: int, turn: int) -> str:
+    sized = [LONG, "It rained.", SENTENCE, f"{LONG} <a href='x'>A source</a> says so.", "Not so fast", f"<b>{SENTENCE}</b> {LONG}", "The mayor was there too, he said."]
+    return "".join(f"<p>{sized[(turn + i) % len(sized)]}</p>" for i in range(n))
 
 
 def _boiler(kind: str, name: str, i: int) -> str:
@@ -83,54 +81,34 @@ def _boiler(kind: str, name: str, i: int) -> str:
 def labelled_pages() -> Iterator[str]:
     """Pages of known labels: every boilerplate name before, beside, inside or
     after the content, content in every kind of container."""
-    names = CONTENT.split()
+    names, around_names = CONTENT.split(), ("wrapper", "container", "site", "layout")
     every = [(kind, name) for kind, all_names in BOILER.items() for name in all_names.split()]
     bare = [("nav", "nav"), ("header", "header"), ("footer", "footer"), ("aside", "aside")]
     variants = [(kind, name, 7 * v) for v in range(VARIANTS) for kind, name in every]
     for at, (kind, name, turn) in enumerate(variants):
         i = at + turn
-        tag = ("article", "main", "div", "section", "div")[i % 5]
-        holder = f"<{tag}>" if tag in ("article", "main") else f"<{tag} {'id' if i % 4 == 0 else 'class'}='{names[i % len(names)]}'>"
-        title = f"<h1>{SENTENCE if i % 2 else 'A new bridge'}</h1>"
-        title = f"<header>{title}</header>" if i % 6 == 3 else title
-        lists = f"<ul><li>{SENTENCE}</li><li>One point</li></ul>" if i % 3 == 0 else ""
+        box = lambda html, i=i: f"<div class='{around_names[i % 4]}'>{html}</div>" if i % 3 else html
+        tag = ("article", "main", "div", "section", "div", "article")[i % 6]
+        holder = f"<{tag} data-content" + ("" if tag in ("article", "main") and i % 4 else f" {'id' if i % 8 == 0 else 'class'}='{names[i % len(names)]}'")
+        title = f"<h1>{SENTENCE if i % 2 else 'A new bridge'}</h1>" if i % 9 else ""
+        title = f"<header>{title}</header>" if i % 7 == 3 else title
+        lists = ("<ol><li>Step one</li><li>Step two of it</li></ol>", "", "", f"<ul><li>{SENTENCE}</li><li>One point</li><li>Two <i>points</i> here</li></ul>", "")[i % 5]
         quote = f"<blockquote><p>{SENTENCE}</p></blockquote><h2>More</h2>" if i % 4 == 1 else ""
         table = "<table><tr><th>Year</th><td>1999</td></tr></table>" if i % 7 == 2 else ""
         this = _boiler(kind, name, i)
         inside, after = (this, "") if i % 3 == 2 else ("", this)
-        content = f"{holder[:-1]} data-content>{title}{_paragraphs(2 + i % 4)}{inside}{quote}{lists}{table}{_paragraphs(1 + i % 2)}</{tag}>"
+        content = f"{holder}>{title}{_paragraphs((1, 2, 1, 4, 6)[at % 5], at)}{inside}{quote}{lists}{table}{_paragraphs(at % 2, at + 3)}</{tag}>"
         around = [_boiler(k, n, i + j) for j, (k, n) in enumerate(bare)]
-        body = around[0] + (around[1] if i % 3 else "") + content + after + (around[3] if i % 2 == 0 else "") + around[2]
-        yield f"<body>{'<div class=wrapper>' + body + '</div>' if i % 3 else body}</body>"
+        body = box(around[0] + (around[1] if i % 3 else ""), i + 1) + box(content + after) + (around[3] if i % 2 == 0 else "") + box(around[2], i + 2)
+        yield f"<body>{body if i % 4 else '<div class=page>' + body + '</div>'}</body>"
 
 
 class Model:
-    """Log-odds of the features, and child-given-parent probabilities."""
-
-    def __init__(self, pages: Iterable[str], smoothing: float = 4.0, name_smoothing: float = 0.02):
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        nodes = [0, 0]
-        pairs: dict[bool, Counter] = defaultdict(Counter)
-        for html in pages:
-            tree = Tree(html)
-            # an element holds content if a block of text below it does
-            labels = [bool(x) if t is not None else False for x, t in zip(tree.label, tree.text, strict=True)]
-            for i in range(len(labels) - 1, 0, -1):
-                if labels[i]:
-                    labels[tree.parent[i]] = True
-            for i in range(len(labels)):
-                nodes[labels[i]] += 1
-                for f in self.features(tree.key[i]):
-                    seen[labels[i]][f] += 1
-                if i:
-                    pairs[labels[tree.parent[i]]][labels[i]] += 1
-
-        def weight(feature: str) -> float:
-            few = name_smoothing if feature.startswith("name-") else smoothing
-            return log((seen[1][feature] + few) / (nodes[1] + 2 * few)) - log((seen[0][feature] + few) / (nodes[0] + 2 * few))
-
-        self.weights = {f: weight(f) for f in seen[0] | seen[1]}
-        self.pairs = tuple(tuple((pairs[bool(p)][bool(c)] + smoothing) / (pairs[bool(p)].total() + 2 * smoothing) for c in (0, 1)) for p in (0, 1))
+    """Weights of the features for the label content, and of label pairs."""
+
+    def __init__(self, weights: dict[str, float], pairs: dict[tuple[int, int], float]):
+        self.weights = weights
+        self.pairs = tuple(tuple(exp(pairs[p, c]) for c in (0, 1)) for p in (0, 1))
         self.likelihood = lru_cache(maxsize=50_000)(self._likelihood)
 
     @staticmethod
@@ -146,13 +124,14 @@ class Model:
         return self.weights[max(known, key=lambda f: (len(f), f))] if known else 0.0
 
     def _likelihood(self, key: tuple) -> tuple[float, float]:
-        """Likelihood of a node's features under either label, up to a factor."""
-        odds = sum(self.weights.get(f) or self._like_known(f) for f in self.features(key)) * (TEXT_SHARE if key[0] == "#text" else 1.0)
-        p = 1 / (1 + 2.718281828459045 ** -max(-30.0, min(30.0, odds)))
+        """Potentials of a node's two labels, up to a factor."""
+        odds = sum(self.weights[f] if f in self.weights else self._like_known(f) for f in self.features(key))
+        p = 1 / (1 + exp(-max(-30.0, min(30.0, odds))))
         return 1 - p, p
 
-    def marginals(self, tree: Tree) -> list[float]:
-        """Content probability of each node: messages up, then down."""
+    def messages(self, tree: Tree) -> tuple[list, list, list]:
+        """Per node: its potential with what its children say, the message to
+        its parent, and its marginal."""
         (a00, a01), (a10, a11) = self.pairs
         parent, n = tree.parent, len(tree.parent)
         up = [self.likelihood(k) for k in tree.key]
@@ -175,18 +154,64 @@ class Model:
             c0, c1 = x0 * (a00 * b0 + a10 * b1), x1 * (a01 * b0 + a11 * b1)
             s = c0 + c1
             belief[i] = (c0 / s, c1 / s)
-        return [b[1] for b in belief]
+        return up, message, belief
+
+    def marginals(self, tree: Tree) -> list[float]:
+        """Content probability of each node: messages up, then down."""
+        return [b[1] for b in self.messages(tree)[2]]
 
     def blocks(self, html: str) -> list[str]:
         tree = Tree(html)
         return [t for t, p in zip(tree.text, self.marginals(tree), strict=True) if t is not None and p > 0.5]
 
 
+def node_labels(tree: Tree) -> list[int]:
+    """Labels of a labelled page: an element holds content if a block of text
+    below it does."""
+    labels = [int(bool(x) and t is not None) for x, t in zip(tree.label, tree.text, strict=True)]
+    for i in range(len(labels) - 1, 0, -1):
+        labels[tree.parent[i]] |= labels[i]
+    return labels
+
+
+def fit(pages: Iterable[str], rounds: int = ROUNDS, rate: float = 0.5, decay: float = 1e-3) -> Model:
+    """Weights that make the labels of the pages likely: ascent by page on the
+    conditional likelihood, whose gradient is what the labels show less what
+    the marginals of nodes and of parent-child pairs expect."""
+    trees = [(t, node_labels(t)) for t in map(Tree, pages)]
+    weights = {f: 0.0 for t, _ in trees for k in t.key for f in Model.features(k)}
+    pairs = {(p, c): 0.0 for p in (0, 1) for c in (0, 1)}
+    steps: dict = defaultdict(lambda: 1e-2)
+
+    def move(table: dict, key, gradient: float) -> None:
+        gradient -= decay * table[key]
+        steps[key] += gradient * gradient
+        table[key] += rate * gradient / steps[key] ** 0.5
+
+    for _ in range(rounds):
+        for tree, labels in trees:
+            model = Model(weights, pairs)
+            up, message, belief = model.messages(tree)
+            seen: dict = defaultdict(float)
+            for i, key in enumerate(tree.key):
+                for f in Model.features(key):
+                    seen[f] += labels[i] - belief[i][1]
+            for i in range(1, len(labels)):
+                q = tree.parent[i]
+                joint = [belief[q][p] / message[i][p] * model.pairs[p][c] * up[i][c] for p in (0, 1) for c in (0, 1)]
+                for at, (p, c) in enumerate(pairs):
+                    seen[p, c] += (labels[q] == p and labels[i] == c) - joint[at] / sum(joint)
+            for key, gradient in seen.items():
+                move(pairs if isinstance(key, tuple) else weights, key, gradient)
+    return Model(weights, pairs)
+
+
 @lru_cache(maxsize=1)
 def default_model() -> Model:
-    return Model(labelled_pages())
+    return fit(labelled_pages())
 
 
+MOST_PAGES = 5000
 SCHEMA = "page_id long, url string, text string, n_blocks long"
 
 
@@ -198,11 +223,15 @@ def main_text(
     html_col: str = "html",
 ) -> DataFrame:
     """One row per page: id, url, the main text and its number of blocks.  One
-    pass, no shuffle; each task fits the model from the labelled pages (a
-    bounded set, ``model_pages`` or the built-in one) in under a second."""
+    pass, no shuffle.  The driver fits the model once from labelled pages, the
+    built-in ones (some 300) or at most ``MOST_PAGES`` given as ``model_pages``."""
+    if model_pages is not None and len(model_pages) > MOST_PAGES:
+        raise ValueError(f"at most {MOST_PAGES} labelled pages")
+    model = default_model() if model_pages is None else fit(model_pages)
+    weights, pairs = model.weights, {(p, c): log(model.pairs[p][c]) for p in (0, 1) for c in (0, 1)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = default_model() if model_pages is None else Model(model_pages)
+        model = Model(weights, pairs)
         for batch in slices(batches, 500):
             found = [model.blocks(h or "") for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
