@@ -1,8 +1,10 @@
 """Data-quality checks K1-K5, assertions L1-L2 and the fan-out guard M5.
 
 Every check is ``f(df, ...) -> DataFrame`` of violations: zero rows = pass.
-The number of failures is the number of rows the violations frame has (for
-grouped kinds, one row per offending value with its ``n_records``).
+``failures`` counts them the way the check suite does: the violating rows for
+``not_null``, the offending values for ``unique``, ``unique_combination`` and
+``accepted_values``, and the child rows (the sum of ``n_records``) for
+``relationships``.
 
 Scale notes: grouped checks use partial aggregation, so a value holding a
 third of all rows shuffles one partial row per map task; key-set comparisons
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.operators.joins import MAX_BROADCAST_ROWS, distinct_keys, rows_with_dangling_key
+from emporium.operators.joins import distinct_keys
 
 N = "n_records"
 
@@ -71,24 +73,24 @@ def relationship_violations(
     keyed = (
         child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(N))
     )
-    parents = distinct_keys(parent, field)
-    if field != column:
-        parents = parents.withColumnRenamed(field, column)
-    return keyed.join(parents, column, "left_anti")
+    return keyed.join(distinct_keys(parent, field, column), column, "left_anti")
 
 
-def orphaned_order_items(
-    fct_order_items: DataFrame,
-    fct_orders: DataFrame,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def failures(violations: DataFrame, kind: str) -> DataFrame:
+    """One row, ``failures``: the count that the suite reports for ``kind``."""
+    count = F.coalesce(F.sum(N), F.lit(0)) if kind == "relationships" else F.count(F.lit(1))
+    return violations.agg(count.cast("bigint").alias("failures"))
+
+
+def orphaned_order_items(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFrame:
     """L1: line-fact rows whose order is not in the order fact.
 
-    Written as an anti join of key sets (not left join + ``is null``, which
-    Catalyst keeps as an outer join).  A null ``order_id`` is an orphan.
+    One anti join (not left join + ``is null``, which Catalyst keeps as an
+    outer join); AQE splits a hot order on the line side.  A null ``order_id``
+    is an orphan.  Over facts bucketed by ``order_id`` it needs no shuffle.
     """
     items = fct_order_items.select("order_id", "order_item_id")
-    return rows_with_dangling_key(items, fct_orders, "order_id", max_broadcast_rows)
+    return items.join(fct_orders.select("order_id"), "order_id", "left_anti")
 
 
 def negative_payment_totals(fct_orders: DataFrame, amount: str = "total_paid_amount") -> DataFrame:

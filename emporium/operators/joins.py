@@ -1,10 +1,8 @@
-"""Join strategies with explicit size bounds.
+"""Key-set helpers of the checks and joins.
 
-Spark broadcasts on its own only below ``spark.sql.autoBroadcastJoinThreshold``
-(estimated size) and AQE re-plans on measured size.  Where we hint a broadcast
-ourselves, the side's row count is checked first with a bounded job
-(``limit(n + 1).count()`` reads at most n + 1 rows), and a plain shuffled join
-is used beyond the bound.
+No broadcast is hinted: Spark broadcasts a side whose measured size is below
+``spark.sql.autoBroadcastJoinThreshold`` (AQE re-plans on the bytes a shuffle
+wrote) and otherwise joins by shuffle, splitting skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,59 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.session import cut_lineage
 
-# Default bound on rows of a side we broadcast by hint.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> int:
-    """Exact row count when it is <= max_rows, else max_rows + 1; reads at most that many rows."""
-    return df.limit(max_rows + 1).count()
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    if row_count_at_most(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    """Non-null distinct values of ``key``: partial aggregation before the
-    shuffle, so a hot key costs one row per map task."""
-    return df.select(key).where(F.col(key).isNotNull()).distinct()
-
-
-def dangling_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Distinct non-null child keys absent from the parent (anti join of key sets).
-
-    Both sides are reduced to distinct keys first, so the anti join shuffles
-    keys, not rows, and no key can be hot on either side.
-    """
-    parent_key = parent_key or key
-    parents = distinct_keys(parent, parent_key)
-    if parent_key != key:
-        parents = parents.withColumnRenamed(parent_key, key)
-    return distinct_keys(child, key).join(parents, key, "left_anti")
-
-
-def rows_with_dangling_key(
-    child: DataFrame,
-    parent: DataFrame,
-    key: str,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Child rows whose ``key`` is null or missing from the parent.
-
-    Two phases: the dangling key set is computed on key sets and written to
-    the checkpoint folder (normally empty or tiny for a data-quality check);
-    then the child is scanned once and matched against it.  Below the bound
-    the set is broadcast and the child is never shuffled; above it, a
-    shuffled left join with AQE skew splitting.
-    """
-    dangling = cut_lineage(dangling_keys(child, parent, key).withColumn("_dangling", F.lit(True)))
-    if row_count_at_most(dangling, max_broadcast_rows) <= max_broadcast_rows:
-        dangling = F.broadcast(dangling)
-    matched = child.join(dangling, key, "left")
-    return matched.where(F.col("_dangling") | F.col(key).isNull()).drop("_dangling")
+def distinct_keys(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
+    """Non-null distinct values of ``key``, as ``name``: partial aggregation
+    before the shuffle, so a hot key costs one row per map task."""
+    return df.select(F.col(key).alias(name or key)).where(F.col(name or key).isNotNull()).distinct()

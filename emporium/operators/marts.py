@@ -3,8 +3,8 @@
 ``fct_orders`` joins order rows to two order-grain aggregates.  Aggregating
 before the join keeps the grain (an order with n items and m payments would
 otherwise fan out to n*m rows) and lets both joins reuse the aggregates'
-hash partitioning on ``order_id``: three exchanges in total, none between an
-aggregate and its join.  All three sides grow with the data, so none is
+hash partitioning on ``order_id``: one exchange per side, one more for the
+exact count of distinct payment types, none between an aggregate and its join.  All three sides grow with the data, so none is
 broadcast by hint; Spark's size threshold and AQE decide at runtime.
 """
 
@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
-
 
 class FanOutError(ValueError):
     """The lookup of a left join has duplicate keys and would multiply rows."""
@@ -34,22 +32,16 @@ def dim_sellers(stg_sellers: DataFrame) -> DataFrame:
     return stg_sellers.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix")
 
 
-def dim_products(
-    stg_products: DataFrame,
-    stg_translation: DataFrame,
-    max_lookup_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def dim_products(stg_products: DataFrame, stg_translation: DataFrame) -> DataFrame:
     """Products with the English category name where a translation exists.
 
-    The translation is a lookup (tens of rows); it is broadcast only after its
-    row count is checked against ``max_lookup_rows``.  A null category stays
-    null, an untranslated one keeps its original name.
+    The translation is a lookup of tens of rows, which Spark broadcasts by its
+    size.  A null category stays null, an untranslated one keeps its name.
     """
     t = stg_translation.select(
         F.col("product_category_name").alias("_category"),
         F.col("product_category_name_english").alias("_category_english"),
     )
-    t = bounded_broadcast(t, max_lookup_rows)
     p = stg_products
     joined = p.join(t, p["product_category_name"] == t["_category"], "left")
     return joined.select(
@@ -71,6 +63,7 @@ def fct_order_items(int_order_items: DataFrame) -> DataFrame:
     )
 
 
+# The column contract of the order fact.
 FCT_ORDERS_COLUMNS = (
     "order_id",
     "customer_id",

@@ -11,22 +11,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emporium.functions.expressions import normalized
+from emporium.functions.expressions import normalized, null_count
 
-NULL_TEXT = "<null>"
+ALL_COLUMNS = "*"
 
 
 def null_profile(df: DataFrame, table_name: str) -> DataFrame:
-    """Row count and per-column null counts in one scan, long format,
-    nonzero columns only.  Columns: ``table_name, column_name, null_count, row_count``."""
+    """Row count and per-column null counts in one scan, long format: a row
+    per column that has nulls, and one of column ``*`` with the nulls of all
+    columns, which a clean table has too.
+    Columns: ``table_name, column_name, null_count, row_count``."""
     cols = df.columns
-    agg = df.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in cols],
-    )
+    agg = df.agg(F.count(F.lit(1)).alias("__rows"), *[null_count(c).alias(c) for c in cols])
+    agg = agg.withColumn("__all", sum((F.col(c) for c in cols), F.lit(0)).cast("bigint"))
     return (
-        agg.unpivot(["__rows"], cols, "column_name", "null_count")
-        .where(F.col("null_count") > 0)
+        agg.unpivot(["__rows"], [*cols, "__all"], "column_name", "null_count")
+        .replace("__all", ALL_COLUMNS, "column_name")
+        .where((F.col("null_count") > 0) | (F.col("column_name") == ALL_COLUMNS))
         .select(
             F.lit(table_name).alias("table_name"),
             "column_name",
@@ -46,10 +47,14 @@ def null_profiles(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def key_text(cols: Sequence[str]) -> Column:
-    """A key tuple as text ``a|b``, nulls spelled out so (1, null) != (null, 1)."""
-    return F.concat_ws(
-        "|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in cols]
-    )
+    """A key tuple as text: parts in double quotes, quotes and backslashes in
+    them escaped, nulls bare, so that different keys never look the same."""
+
+    def part(c: str) -> Column:
+        escaped = F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+        return F.coalesce(F.concat(F.lit('"'), escaped, F.lit('"')), F.lit("null"))
+
+    return F.concat_ws(",", *map(part, cols))
 
 
 def key_duplicates(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
@@ -74,15 +79,21 @@ def key_duplicates(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Dat
     return out
 
 
-def casing_variants(df: DataFrame, column: str) -> DataFrame:
-    """Normalized values (``lower(trim(x))``) spelled in more than one way.
+def casing_variants(columns: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Normalized values (``lower(trim(x))``) spelled in more than one way,
+    for each (table name, frame, column).
 
-    Columns: ``norm, variants``."""
-    return (
-        df.groupBy(normalized(column).alias("norm"))
-        .agg(F.count_distinct(column).alias("variants"))
-        .where(F.col("variants") > 1)
-    )
+    Columns: ``table_name, column_name, norm, variants``."""
+    out = None
+    for table_name, df, column in columns:
+        d = (
+            df.groupBy(normalized(column).alias("norm"))
+            .agg(F.count_distinct(column).alias("variants"))
+            .where(F.col("variants") > 1)
+            .select(F.lit(table_name).alias("table_name"), F.lit(column).alias("column_name"), "norm", "variants")
+        )
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 def domains(columns: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:

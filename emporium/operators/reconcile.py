@@ -7,14 +7,13 @@ by the number of problems (or of layers / expectations), never by the data.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporium.functions.expressions import is_close, money_round, null_safe_equal
-from emporium.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast, distinct_keys
+from emporium.functions.expressions import has_prefix, is_close, money_round, null_safe_equal
 
 TOLERANCE = 0.01
 
@@ -26,9 +25,11 @@ def payment_reconciliation(
 
     Payment rows with a null order are dropped before grouping; on both sides
     a missing total counts as 0; totals agree when ``isclose(abs_tol=0.01)``.
-    One full outer join of two order-grain sides (both unique per order, so
-    no hot key) finds both directions: orders whose total disagrees and
-    payments whose order is absent from the fact.
+    Two joins of order-grain sides, unique per order, give both directions:
+    a left join finds orders whose total disagrees, an anti join payments whose
+    order is absent from the fact.  Both reuse the aggregate's partitioning,
+    and a fact full of null orders is split like any skewed left side (a full
+    outer join could not be).
 
     Columns: ``order_id, issue, total_paid_amount, recomputed_total``.
     """
@@ -37,20 +38,17 @@ def payment_reconciliation(
         .groupBy("order_id")
         .agg(F.sum(F.col("payment_value").cast("double")).alias("_recomputed"))
     )
-    fact = fct_orders.select("order_id", "total_paid_amount", F.lit(True).alias("_in_fact"))
-    joined = fact.join(recomputed, "order_id", "full")
+    fact = fct_orders.select("order_id", "total_paid_amount")
     paid = F.coalesce(F.col("total_paid_amount"), F.lit(0.0))
     again = F.coalesce(F.col("_recomputed"), F.lit(0.0))
-    issue = F.when(F.col("_in_fact").isNull(), F.lit("payment_without_order")).when(
-        ~is_close(paid, again, abs_tol=tolerance), F.lit("amount_mismatch")
-    )
-    return joined.select(
-        "order_id",
-        issue.alias("issue"),
-        paid.alias("total_paid_amount"),
+
+    def reported(rows: DataFrame, issue: str, paid) -> DataFrame:
         # the unrounded sum depends on summation order; expose it in cents
-        money_round(again).alias("recomputed_total"),
-    ).where(F.col("issue").isNotNull())
+        return rows.select("order_id", F.lit(issue).alias("issue"), paid.alias("total_paid_amount"), money_round(again).alias("recomputed_total"))
+
+    differs = fact.join(recomputed, "order_id", "left").where(~is_close(paid, again, abs_tol=tolerance))
+    absent = recomputed.join(fact.select("order_id"), "order_id", "left_anti")
+    return reported(differs, "amount_mismatch", paid).unionByName(reported(absent, "payment_without_order", F.lit(0.0)))
 
 
 def grain_parity(layers: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
@@ -86,13 +84,13 @@ def grain_parity(layers: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -
 
 
 def orphans_by_marker(items: DataFrame, orders: DataFrame, key: str = "order_id") -> DataFrame:
-    """M3: the orphan check by an independent plan: left join to a marked
-    key set, keep rows whose marker is null (a null key is an orphan too).
+    """M3: the orphan check by a plan that shares nothing with L1: left join to
+    a marked parent, keep rows whose marker is null (a null key is an orphan too).
 
-    The parent is reduced to distinct keys first, so the join cannot fan out;
-    a hot key on the child side is split by AQE's skew-join handling."""
-    marked = distinct_keys(orders, key).withColumn("_in_parent", F.lit(True))
-    return items.join(marked, key, "left").where(F.col("_in_parent").isNull()).drop("_in_parent")
+    The parent is grouped by key, so the join cannot fan out; a hot key on the
+    child side is split by AQE's skew-join handling."""
+    marked = orders.groupBy(key).agg(F.max(F.lit(1)).alias("_in_parent"))
+    return items.join(marked, key, "left").where("_in_parent is null").drop("_in_parent")
 
 
 def mart_parity(pairs: Sequence[tuple[str, DataFrame, DataFrame, str]]) -> DataFrame:
@@ -179,12 +177,11 @@ def resolve_prefixes(
 
     ``status`` is ``ok`` (one distinct id, given in ``resolved_id``),
     ``missing`` (none) or ``ambiguous`` (several; ``n_matches`` says how many).
-    The prefix list is the caller's argument, bounded by its length, and is
-    broadcast into an *inner* hash join on the id's leading characters, so
-    the id table is scanned once and never shuffled; only matching ids are
-    aggregated.  The tiny result is then joined back to the prefixes to
-    report the missing ones.  Prefixes are plain text: ``_`` and ``%`` match
-    themselves.
+    An inner equi-join on the id's leading characters finds the matching ids;
+    the prefix list is the caller's argument and Spark broadcasts it by its
+    size.  Only matching ids are aggregated, and the result is joined back to
+    the prefixes to report the missing ones.  Prefixes are plain text: ``_`` and
+    ``%`` match themselves.
     """
     spark: SparkSession = ids.sparkSession
     wanted = spark.createDataFrame(
@@ -202,12 +199,12 @@ def resolve_prefixes(
     )
     keyed = wanted.select("prefix", fold(F.col("prefix")).alias("_key"))
     hits = (
-        heads.join(F.broadcast(keyed), fold(F.col("_head")) == F.col("_key"))
+        heads.join(keyed, fold(F.col("_head")) == F.col("_key"))
+        .where(has_prefix("_id", "prefix", case_insensitive))
         .groupBy("prefix")
         .agg(F.count_distinct("_id").alias("n_matches"), F.min("_id").alias("_any_id"))
     )
-    # at most one row per prefix: bounded by the argument, safe to broadcast
-    out = wanted.join(F.broadcast(hits), "prefix", "left")
+    out = wanted.join(hits, "prefix", "left")
     n = F.coalesce(F.col("n_matches"), F.lit(0))
     status = F.when(n == 0, "missing").when(n == 1, "ok").otherwise("ambiguous")
     return out.select(
@@ -231,28 +228,30 @@ PAYMENT_EXPECTATION_SCHEMA = T.StructType(
 MONEY_FIELDS = frozenset({"total_paid_amount"})
 
 
+def of_expected_keys(rows: DataFrame, expectations: DataFrame, key: str = "order_id") -> DataFrame:
+    """Rows whose key is expected.  Applied before an aggregation by that key,
+    it turns the shuffle of a whole table into a filtered scan."""
+    return rows.join(expectations.select(key).distinct(), key, "left_semi")
+
+
 def known_answers(
     actual: DataFrame,
     expectations: DataFrame,
     key: str = "order_id",
     money_fields=MONEY_FIELDS,
-    max_expectations: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """M9: compare rows of ``actual`` with expected values.
+    """M9: compare rows of ``actual`` (unique per key) with expected values.
 
     A null expectation is not checked.  Money fields compare within 0.01
     (``isclose``), the rest exactly.  An absent key gives ``found = false``
-    instead of an error.  Expectations are broadcast (after a size check)
-    into an inner join; the matched rows are joined back to them.
+    instead of an error.  One result row per expectation, repeated or not.
 
     Columns: ``key, found, <field>_ok ..., passed``.
     """
     fields = [c for c in expectations.columns if c != key]
     exp = expectations.select(key, *[F.col(c).alias(f"e_{c}") for c in fields])
     got = actual.select(key, *[F.col(c).alias(f"a_{c}") for c in fields])
-    matched = got.join(bounded_broadcast(exp.select(key), max_expectations), key, "inner")
-    matched = matched.withColumn("_found", F.lit(True))
-    both = exp.join(matched, key, "left")
+    both = exp.join(got.withColumn("_found", F.lit(True)), key, "left")
     found = F.coalesce(F.col("_found"), F.lit(False))
     oks = []
     for c in fields:
@@ -280,7 +279,3 @@ def suite_summary(results: DataFrame) -> DataFrame:
         F.bool_and("passed").alias("passed"),
     ).select(F.lit("*").alias("model"), "*")
     return per_model.unionByName(overall)
-
-
-def layer_map(models: Mapping[str, DataFrame], names: Sequence[str]) -> list[tuple[str, DataFrame]]:
-    return [(n, models[n]) for n in names]

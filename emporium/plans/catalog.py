@@ -1,7 +1,8 @@
 """Registered queries: key -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the test tables of ``sf_dir`` through the stand-in
-mapping (``emporium.sources.standin``) and runs over whole tables.
+mapping (``emporium.sources.standin``) and runs over whole tables.  Building a
+query's DataFrame runs no Spark job.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ def register(key: str):
     return deco
 
 
-def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight raw tables (stand-ins ingested once per session)."""
+def raw(spark: SparkSession, sf_dir: str) -> standin.RawTables:
+    """The eight raw tables."""
     return standin.raw_tables(spark, sf_dir)
 
 
@@ -71,12 +72,14 @@ from pyspark.sql import functions as F  # noqa: E402
 from emporium.operators import checks as C  # noqa: E402
 from emporium.operators import profiling as P  # noqa: E402
 from emporium.operators import reconcile as R  # noqa: E402
+from emporium.operators.intermediate import int_order_payments  # noqa: E402
 from emporium.operators.marts import FCT_ORDERS_COLUMNS  # noqa: E402
 from emporium.plans.suite import run_suite  # noqa: E402
 
 # Fixed values used by the registered checks.
 ACCEPTED_EVENT_TYPES = ("view", "signup", "click", "purchase")
 ID_PREFIXES = ("Customer#000000012", "Customer#00000012", "Nope")
+ORDER_ID_PREFIXES = ("1", "1000", "abC", "-")
 PENDING_STATUS = "P"
 
 
@@ -119,10 +122,21 @@ def chk_unique_combination(spark, sf_dir):
     return C.unique_combination_violations(items, ["order_id", "order_item_id"])
 
 
+def _labelled(parts: dict[str, DataFrame]) -> DataFrame:
+    """Parts stacked, each row with the name of its part in ``input``."""
+    out = None
+    for name, df in parts.items():
+        one = df.withColumn("input", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("chk_orphaned_order_items")
 def chk_orphaned_order_items(spark, sf_dir):
+    """The real check on the whole fact, and on one that lacks orders."""
     m = models(spark, sf_dir)
-    return C.orphaned_order_items(m["fct_order_items"], _non_pending_orders(m))
+    items = m["fct_order_items"]
+    return _labelled({"fct_orders": C.orphaned_order_items(items, m["fct_orders"]), "without_pending": C.orphaned_order_items(items, _non_pending_orders(m))})
 
 
 @register("chk_negative_payments")
@@ -162,9 +176,12 @@ ITEM_LAYERS = ("raw_order_items", "stg_order_items", "int_order_items", "fct_ord
 
 @register("rec_grain_parity")
 def rec_grain_parity(spark, sf_dir):
+    """The four layers of the line items, and one whose first lines are doubled."""
     m = models(spark, sf_dir)
     layers = [("raw_order_items", raw(spark, sf_dir)["raw_order_items"])]
     layers += [(n, m[n]) for n in ITEM_LAYERS[1:]]
+    lines = m["fct_order_items"].select("order_id", "order_item_id")
+    layers.append(("doubled_first_lines", lines.unionByName(lines.where("order_item_id = 1"))))
     return R.grain_parity(layers, ["order_id", "order_item_id"])
 
 
@@ -172,9 +189,10 @@ def rec_grain_parity(spark, sf_dir):
 def rec_orphans_independent(spark, sf_dir):
     m = models(spark, sf_dir)
     items = m["fct_order_items"].select("order_id", "order_item_id")
-    return R.orphans_by_marker(items, _non_pending_orders(m))
+    return _labelled({"fct_orders": R.orphans_by_marker(items, m["fct_orders"]), "without_pending": R.orphans_by_marker(items, _non_pending_orders(m))})
 
 
+# Mart, its source, and the source's key.
 MART_PARITY = (
     ("dim_customers", "stg_customers", "customer_id"),
     ("dim_sellers", "stg_sellers", "seller_id"),
@@ -189,12 +207,20 @@ def rec_mart_parity(spark, sf_dir):
     return R.mart_parity([(mart, m[mart], m[src], key) for mart, src, key in MART_PARITY])
 
 
+def perturbed_measures(fct_orders: DataFrame) -> DataFrame:
+    """The order fact with one item too many on pending orders and a card too
+    many on orders of exactly two cards."""
+    pending = F.col("order_status") == F.lit(PENDING_STATUS)
+    cards = F.col("credit_card_count")
+    return fct_orders.withColumns({"item_count": F.when(pending, F.col("item_count") + 1).otherwise(F.col("item_count")), "credit_card_count": F.when(cards == 2, cards + 1).otherwise(cards)})
+
+
 @register("rec_measure_propagation")
 def rec_measure_propagation(spark, sf_dir):
+    """The fact as built, and with perturbed measures that must be reported."""
     m = models(spark, sf_dir)
-    return R.measure_propagation(
-        m["fct_orders"], m["int_order_items_summary"], m["int_order_payments"]
-    )
+    sides = (m["int_order_items_summary"], m["int_order_payments"])
+    return _labelled({"fct_orders": R.measure_propagation(m["fct_orders"], *sides), "perturbed": R.measure_propagation(perturbed_measures(m["fct_orders"]), *sides)})
 
 
 @register("prof_null_totals")
@@ -208,24 +234,51 @@ def resolve_id_prefix(spark, sf_dir):
     return R.resolve_prefixes(customers, "customer_unique_id", ID_PREFIXES)
 
 
-# Known-answer expectations for int_order_payments (values of sf0.01);
-# order 4 carries one deliberately wrong field, order -1 does not exist.
-KNOWN_ORDERS = (
-    # order_id, total_paid_amount, installments, cards, opted, distinct types
-    ("1", 201488.45, 7, 1, True, 3),
-    ("2", None, 12, 2, True, None),  # two cards: installments add up
-    ("3", 199332.65, 4, 1, True, 3),
-    ("4", 287782.06, 99, 1, True, 3),  # installments deliberately wrong
-    ("5", 129674.08, 0, 0, False, 2),  # no card: 0 installments, flag false
-    ("-1", 10.0, None, None, None, None),  # no such order
-)
+@register("resolve_order_prefix")
+def resolve_order_prefix(spark, sf_dir):
+    """Case-insensitive, on the order ids of the staging layer."""
+    return R.resolve_prefixes(models(spark, sf_dir)["stg_orders"], "order_id", ORDER_ID_PREFIXES, case_insensitive=True)
+
+
+@register("prof_order_lookup")
+def prof_order_lookup(spark, sf_dir):
+    """Rows of one order, its id given as a bound parameter."""
+    return P.rows_with_value(models(spark, sf_dir)["stg_payments"], "order_id", "1")
+
+
+def expected_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected payment measures of the five smallest orders with lines, worked
+    out from the line items in another way than the model's.  One of the orders
+    expects a wrong number of installments, and one order does not exist; an
+    expectation that is null is not checked."""
+    li = standin.table(spark, sf_dir, "lineitem").where("l_orderkey <= 5")
+    card = F.col("l_returnflag") == F.lit("N")
+    one = F.when(card, F.lit(1)).otherwise(F.lit(0))
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum("l_extendedprice").alias("paid"),
+        F.sum(F.col("l_linenumber") * one).alias("installments"),
+        F.sum(one).alias("cards"),
+        (F.max((F.col("l_returnflag") == "N").cast("int")) + F.max((F.col("l_returnflag") == "R").cast("int")) + F.max((F.col("l_returnflag") == "A").cast("int"))).alias("types"),
+    )
+    key = F.col("l_orderkey")
+    found = per_order.select(
+        key.cast("string").alias("order_id"),
+        F.when(key != 2, F.col("paid").cast("double")).alias("total_paid_amount"),
+        F.when(key == 4, F.col("installments") + 1).otherwise(F.col("installments")).cast("bigint").alias("payment_installments_count"),
+        F.col("cards").cast("bigint").alias("credit_card_count"),
+        (F.col("installments") > 1).alias("payment_installment_opted"),
+        F.when(key != 2, F.col("types")).cast("bigint").alias("distinct_payment_types_count"),
+    )
+    absent = spark.createDataFrame([("-1", 10.0, None, None, None, None)], R.PAYMENT_EXPECTATION_SCHEMA)
+    return found.unionByName(absent)
 
 
 @register("chk_known_orders")
 def chk_known_orders(spark, sf_dir):
-    m = models(spark, sf_dir)
-    exp = spark.createDataFrame(list(KNOWN_ORDERS), R.PAYMENT_EXPECTATION_SCHEMA)
-    return R.known_answers(m["int_order_payments"], exp)
+    """Only the payments of expected orders are aggregated."""
+    expected = expected_payments(spark, sf_dir)
+    payments = R.of_expected_keys(models(spark, sf_dir)["stg_payments"], expected)
+    return R.known_answers(int_order_payments(payments), expected)
 
 
 @register("suite_results")
@@ -238,19 +291,23 @@ def suite_summary(spark, sf_dir):
     return R.suite_summary(run_suite(models(spark, sf_dir)))
 
 
+@register("chk_failures_preview")
+def chk_failures_preview(spark, sf_dir):
+    """The first ten failures of a check, in order, as a report shows them."""
+    return P.preview(C.unique_violations(models(spark, sf_dir)["stg_reviews"], "review_id"), 10, "review_id")
+
+
 @register("prof_null_counts")
 def prof_null_counts(spark, sf_dir):
-    m = models(spark, sf_dir)
-    return P.null_profiles(
-        {
-            "raw_orders": raw(spark, sf_dir)["raw_orders"],
-            "raw_products": raw(spark, sf_dir)["raw_products"],
-            "fct_orders": m["fct_orders"],
-        }
-    )
+    """All raw tables and the order fact."""
+    return P.null_profiles({**raw(spark, sf_dir), "fct_orders": models(spark, sf_dir)["fct_orders"]})
 
 
+# The candidate keys of the raw tables.
 KEY_CANDIDATES = {
+    "raw_orders": ("order_id",),
+    "raw_products": ("product_id",),
+    "raw_customers": ("customer_id",),
     "raw_payments": ("order_id", "payment_sequential"),
     "raw_reviews": ("review_id",),
     "raw_sellers": ("seller_id",),
@@ -278,9 +335,23 @@ def messy_customer_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("c_custkey").alias("customer_id"), city.alias("customer_city"))
 
 
+def messy_seller_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sellers whose city is one of seven names, with a blank before it on odd keys."""
+    s = standin.table(spark, sf_dir, "supplier")
+    name = F.concat(F.lit("City "), (F.col("s_suppkey") % 7).cast("string"))
+    odd = F.col("s_suppkey") % 2 == 1
+    return s.select(F.col("s_suppkey").alias("seller_id"), F.when(odd, F.concat(F.lit(" "), name)).otherwise(name).alias("seller_city"))
+
+
 @register("prof_casing_variants")
 def prof_casing_variants(spark, sf_dir):
-    return P.casing_variants(messy_customer_cities(spark, sf_dir), "customer_city")
+    return P.casing_variants(
+        [
+            ("customers", messy_customer_cities(spark, sf_dir), "customer_city"),
+            ("sellers", messy_seller_cities(spark, sf_dir), "seller_city"),
+            ("raw_sellers", raw(spark, sf_dir)["raw_sellers"], "seller_city"),
+        ]
+    )
 
 
 DOMAIN_COLUMNS = (

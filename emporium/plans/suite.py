@@ -1,11 +1,13 @@
 """The declared check suite (53 checks over 17 models) and its runner.
 
 Each check folds to one row ``(check_id, model, kind, columns, failures,
-passed)``.  Row-level kinds (``not_null``, ``accepted_values``) of one model
-share a single scan: one aggregate with a conditional count per check, no
-shuffle.  Grouped kinds (``unique``, ``unique_combination``) need one
-shuffle on their key each; ``relationships`` compares key sets.  All checks
-run as one Spark job (a union), and only the 53 result rows reach the driver.
+passed)``.  ``not_null`` checks of one model share a scan and need no shuffle;
+``accepted_values`` counts distinct offending values, which shuffles those
+only.  ``unique`` and ``unique_combination`` are one typed aggregate per key,
+``relationships`` an anti join of typed key sets.  Models that are projections
+of one table have the same aggregate, whose exchange Spark then reuses: the
+line-item key of the staging, intermediate and mart layer is shuffled once.
+All checks run as one union, and only one row per check reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.operators import checks as C
 
 NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS, COMBINATION = (
     "not_null",
@@ -69,6 +72,7 @@ def _rel(model: str, col: str, to: str, field: str) -> Check:
     return Check(model, RELATIONSHIPS, (col,), to=to, field=field)
 
 
+# The declared checks.
 SUITE: tuple[Check, ...] = tuple(
     # staging (31)
     _key("stg_orders", "order_id")
@@ -104,102 +108,24 @@ SUITE: tuple[Check, ...] = tuple(
     + _key("dim_products", "product_id")
 )
 
-def _row_condition(check: Check):
-    col = F.col(check.columns[0])
-    if check.kind == NOT_NULL:
-        return col.isNull()
-    return col.isNotNull() & ~col.isin(list(check.values))
+def _null_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """not_null checks of one model in one scan: ``(check_id, failures)``."""
+    counts = df.agg(*[F.count_if(F.col(ch.columns[0]).isNull()).alias(ch.check_id) for ch in checks])
+    return counts.unpivot([], [ch.check_id for ch in checks], "check_id", "failures")
 
 
-def _fused_row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """not_null and accepted_values of one model in one scan, no shuffle.
-
-    not_null failures are violating rows; accepted_values failures are the
-    distinct offending values, counted with ``count(distinct)`` inside the
-    same aggregate.  Columns ``(check_id, failures)``."""
-    exprs = []
-    for ch in checks:
-        if ch.kind == NOT_NULL:
-            exprs.append(F.count_if(_row_condition(ch)).alias(ch.check_id))
-        else:
-            bad = F.when(_row_condition(ch), F.col(ch.columns[0]))
-            exprs.append(F.count_distinct(bad).alias(ch.check_id))
-    ids = [ch.check_id for ch in checks]
-    return df.agg(*exprs).unpivot([], ids, "check_id", "failures")
-
-
-# key-check modes: duplicates (unique, unique_combination) or dangling references
-_DUPLICATES, _DANGLING = 0, 1
-
-
-def _key_rows(
-    models: Mapping[str, DataFrame], ch: Check, index: int, width: int
-) -> list[DataFrame]:
-    """Rows ``(check, mode, k0..k{width-1}, child_rows, parent)`` of one key check.
-
-    ``check`` is the check's small integer index (cheap to hash, unlike its
-    name).  Keys are compared as text so that every check fits one schema; a
-    key shorter than ``width`` is padded with constant nulls, which does not
-    change its grouping."""
-
-    def keyed(df, cols, mode, child_rows, parent):
-        keys = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(cols)]
-        keys += [F.lit(None).cast("string").alias(f"k{i}") for i in range(len(cols), width)]
-        return df.select(
-            F.lit(index).alias("check"),
-            F.lit(mode).cast("tinyint").alias("mode"),
-            *keys,
-            F.lit(child_rows).cast("bigint").alias("child_rows"),
-            F.lit(parent).alias("parent"),
-        )
-
+def _one_check(models: Mapping[str, DataFrame], ch: Check) -> DataFrame:
+    """Any other check as one row ``(check_id, failures)``."""
     df = models[ch.model]
     if ch.kind == UNIQUE:
-        c = ch.columns[0]
-        return [keyed(df.where(F.col(c).isNotNull()), [c], _DUPLICATES, 1, False)]
-    if ch.kind == COMBINATION:
-        return [keyed(df, ch.columns, _DUPLICATES, 1, False)]
-    c = ch.columns[0]
-    child = keyed(df.where(F.col(c).isNotNull()), [c], _DANGLING, 1, False)
-    parent_df = models[ch.to]
-    parent = keyed(parent_df.where(F.col(ch.field).isNotNull()), [ch.field], _DANGLING, 0, True)
-    return [child, parent]
-
-
-def _fused_key_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """unique, unique_combination and relationships checks in one shuffle.
-
-    Every check contributes its key rows to one union, tagged by check index;
-    one aggregation by (check, key) counts rows and notes whether a parent
-    key exists.  Partial aggregation runs before the shuffle, so a key holding
-    a third of a table still sends one row per map task.  Failures per check:
-    keys seen more than once (duplicates), or child rows whose key has no
-    parent (relationships).  Columns ``(check_id, failures)``."""
-    width = max(len(ch.columns) for ch in checks)
-    branches = [b for i, ch in enumerate(checks) for b in _key_rows(models, ch, i, width)]
-    rows = branches[0]
-    for b in branches[1:]:
-        rows = rows.unionByName(b)
-    keys = ["check", "mode"] + [f"k{i}" for i in range(width)]
-    per_key = rows.groupBy(*keys).agg(
-        F.sum("child_rows").alias("n"), F.bool_or("parent").alias("has_parent")
-    )
-    failures = (
-        F.when((F.col("mode") == _DUPLICATES) & (F.col("n") > 1), F.lit(1))
-        .when((F.col("mode") == _DANGLING) & ~F.col("has_parent"), F.col("n"))
-        .otherwise(F.lit(0))
-    )
-    # one global aggregate with a conditional sum per check: exactly one row
-    # per check even when its inputs are empty, and no shuffle on the check id
-    per_check = per_key.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("check") == i, failures)), F.lit(0))
-            .cast("bigint")
-            .alias(ch.check_id)
-            for i, ch in enumerate(checks)
-        ]
-    )
-    return per_check.unpivot([], [ch.check_id for ch in checks], "check_id", "failures")
+        bad = C.unique_violations(df, ch.columns[0])
+    elif ch.kind == COMBINATION:
+        bad = C.unique_combination_violations(df, ch.columns)
+    elif ch.kind == ACCEPTED:
+        bad = C.accepted_values_violations(df, ch.columns[0], ch.values)
+    else:
+        bad = C.relationship_violations(df, ch.columns[0], models[ch.to], ch.field)
+    return C.failures(bad, ch.kind).select(F.lit(ch.check_id).alias("check_id"), "failures")
 
 
 def _lookup(mapping: dict[str, str], key: str, cast: str | None = None):
@@ -213,21 +139,16 @@ def run_suite(models: Mapping[str, DataFrame], suite: Sequence[Check] = SUITE) -
     """All checks as one DataFrame ``(check_id, model, kind, columns, failures, passed)``.
 
     ``models`` may be lazy plans or published tables; for production runs,
-    pass the published marts so checks read stored tables.  One union of
-    (a) one fused key-check aggregate and (b) one scan per model for the
-    row-level checks; each branch yields exactly one row per check, so only
-    one row per declared check leaves the executors.
+    pass the published marts so checks read stored tables.  Each branch of the
+    union yields one row per check, so only one row per declared check leaves
+    the executors.
     """
-    key_checks = [ch for ch in suite if ch.kind in (UNIQUE, COMBINATION, RELATIONSHIPS)]
     by_model: dict[str, list[Check]] = {}
     for ch in suite:
-        if ch.kind in (NOT_NULL, ACCEPTED):
+        if ch.kind == NOT_NULL:
             by_model.setdefault(ch.model, []).append(ch)
-    parts: list[DataFrame] = []
-    if key_checks:
-        parts.append(_fused_key_checks(models, key_checks))
-    for model, checks in by_model.items():
-        parts.append(_fused_row_checks(models[model], checks))
+    parts = [_null_checks(models[model], checks) for model, checks in by_model.items()]
+    parts += [_one_check(models, ch) for ch in suite if ch.kind != NOT_NULL]
     totals = parts[0]
     for p in parts[1:]:
         totals = totals.unionByName(p)

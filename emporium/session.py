@@ -8,7 +8,9 @@ unset, which happens in local tests and benchmarks.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,23 +56,15 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
-def is_classic(spark: SparkSession) -> bool:
-    """True for a classic (JVM-backed) session; False e.g. for Spark Connect."""
-    try:
-        return spark.sparkContext is not None
-    except Exception:
-        return False
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``; only when
-    none is configured (local runs) a fresh scratch folder is created.
+    Uses the folder the cluster names in ``spark.checkpoint.dir``.  A local
+    master without one gets a fresh folder of its own; on a cluster that is an
+    error, as each executor would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,23 +72,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = os.path.join(tempfile.gettempdir(), f"run-{uuid.uuid4().hex}")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable (eager) checkpoint into the shared checkpoint folder.
-
-    The result survives executor loss and later plans read it instead of
-    recomputing its lineage.  Never a local checkpoint.  (Under Spark Connect
-    the server's own checkpoint folder is used.)
-    """
-    if is_classic(df.sparkSession):
-        checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem, so shared (non-local)
     folders such as HDFS or object stores work too."""

@@ -9,24 +9,17 @@ Every column has the declared raw type of ``emporium.sources.schemas``:
 ids and the values the staging layer casts (timestamps, money, sizes) are
 text, as a CSV carries them, so the staging casts do real work.
 
-``raw_tables`` ingests the stand-ins once per session into the shared
-checkpoint folder (the equivalent of loading seeds into the warehouse) and
-returns readers over the ingested Parquet through ``sources.load``, the same
-path real raw data takes.
+``raw_tables`` returns them as lazy projections, so a query scans the given
+files themselves, with column pruning and filter pushdown.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.session import checkpoint_dir, is_classic, path_exists
-from emporium.sources.raw import load
-from emporium.sources.schemas import RAW_SCHEMAS
-
 # Fixed values of the mapping: payment types stand in for l_returnflag codes,
 # and two part types are treated as a missing / an untranslated category.
 RETURNFLAG_TO_PAYMENT_TYPE = {"N": "credit_card", "R": "voucher", "A": "boleto"}
@@ -39,8 +32,25 @@ TEST_TABLES = (
 ).split()
 
 
+# The schemas of the given tables that queries read (a declared
+# schema keeps Spark from running a job to infer it when a plan is built).
+SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(c: str | Column) -> Column:
@@ -177,63 +187,25 @@ BUILDERS = {
 }
 
 
-# Bump when the mapping changes, so stale ingested copies are not reused.
-MAPPING_VERSION = "2"
-SOURCE_TABLES = ("orders", "lineitem", "part", "customer", "supplier")
-
-
-def lazy_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight raw tables as lazy projections of the test tables (no writes)."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
-
-
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha256(MAPPING_VERSION.encode())
-    for t in SOURCE_TABLES:
-        path = os.path.abspath(os.path.join(sf_dir, f"{t}.parquet"))
-        st = os.stat(path)
-        h.update(f"{path}:{st.st_size}:{st.st_mtime_ns};".encode())
-    return h.hexdigest()[:16]
-
-
-def ingest_raw_tables(spark: SparkSession, sf_dir: str) -> str:
-    """Write the eight stand-in raw tables once; returns their folder.
-
-    The folder lives under the session's shared checkpoint folder and is
-    keyed by the input files and the mapping version.  A table is spread over
-    at least as many files as the session has task slots, so later scans run
-    in parallel (the test tables are single row groups, which one task must
-    read); inputs that already arrive in that many partitions are written as
-    they are, without a shuffle.
-    """
-    base = os.path.join(checkpoint_dir(spark), "raw", _fingerprint(sf_dir))
-    slots = spark.sparkContext.defaultParallelism
-    for name, build in BUILDERS.items():
-        target = os.path.join(base, f"{name}.parquet")
-        if path_exists(spark, os.path.join(target, "_SUCCESS")):
-            continue
-        df = build(spark, sf_dir).select(*RAW_SCHEMAS[name].names)
-        if df.rdd.getNumPartitions() < slots:
-            df = df.repartition(slots)
-        df.write.mode("overwrite").parquet(target)
-    return base
-
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight raw tables, read from their ingested copy with declared schemas.
-
-    Without a classic session (no filesystem access from the driver) the
-    stand-ins are read lazily instead; results are the same."""
-    if not is_classic(spark):
-        return lazy_raw_tables(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, checkpoint_dir(spark), _fingerprint(sf_dir))
-    if key not in _READERS:
-        base = ingest_raw_tables(spark, sf_dir)
-        _READERS[key] = {name: load(spark, base, name, "parquet") for name in BUILDERS}
-    return dict(_READERS[key])
-
-
-# Readers over ingested copies, per (application, checkpoint folder, input
-# fingerprint); a new SparkContext never sees readers of a stopped one.  The ingested folders are never rewritten, so the lazy
-# readers (and their file listings) can be reused by every query.
-_READERS: dict[tuple, dict[str, DataFrame]] = {}
+class RawTables(Mapping):
+    """The eight raw tables as lazy projections of the given tables: each is
+    built when it is first asked for, and read when a query runs."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BUILDERS[name](self._spark, self._sf_dir)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    return RawTables(spark, sf_dir)

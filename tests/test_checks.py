@@ -57,8 +57,21 @@ def test_orphan_assertion_reports_null_and_dangling(spark):
     bad = df(spark, [("o1", 1), ("o9", 1), ("o9", 2), (None, 1)], "order_id string, order_item_id int")
     want = sorted([(None, 1), ("o9", 1), ("o9", 2)], key=repr)
     assert rows(C.orphaned_order_items(bad, orders)) == want
-    # beyond the broadcast bound the shuffled plan gives the same rows
-    assert rows(C.orphaned_order_items(bad, orders, max_broadcast_rows=0)) == want
+    plan = C.orphaned_order_items(bad, orders)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and "LogicalRDD" in plan
+
+
+def _checked(models, ch):
+    d, col = models[ch.model], ch.columns[0]
+    if ch.kind == NOT_NULL:
+        return C.not_null_violations(d, col)
+    if ch.kind == UNIQUE:
+        return C.unique_violations(d, col)
+    if ch.kind == COMBINATION:
+        return C.unique_combination_violations(d, ch.columns)
+    if ch.kind == ACCEPTED:
+        return C.accepted_values_violations(d, col, ch.values)
+    return C.relationship_violations(d, col, models[ch.to], ch.field)
 
 
 def test_negative_payments_only_negative(spark):
@@ -119,5 +132,7 @@ def test_suite_runner_matches_brute_force(spark):
     want = _brute_force(models, suite)
     assert {k: v[0] for k, v in got.items()} == want
     assert all(v[1] == (v[0] == 0) for v in got.values())
+    # the violations frames count the same failures
+    assert {ch.check_id: C.failures(_checked(models, ch), ch.kind).first().failures for ch in suite} == want
     assert got["unique__empty__k"] == (0, True, "empty", "unique")
     assert want["relationships__items__order_id"] == 1 and want["unique_combination__items__order_id__n"] == 2

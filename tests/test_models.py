@@ -196,12 +196,7 @@ def test_lookup_fanout_guard_blocks_duplicate_lookup(spark):
     guard_lookup_fanout(build_models(_raw_world(spark, [("a", "b")]))["stg_product_category_translation"])
 
 
-def test_dim_products_over_bound_lookup_is_not_broadcast(spark):
+def test_building_the_models_hints_no_broadcast(spark):
     m = build_models(_raw_world(spark, [("beleza_saude", "health_beauty"), ("x", "y")]))
-    df = M.dim_products(m["stg_products"], m["stg_product_category_translation"], max_lookup_rows=1)
-    cats = dict(rows(df, "product_id", "product_category_name"))
-    assert cats["p1"] == "health_beauty"
-    hinted = M.dim_products(m["stg_products"], m["stg_product_category_translation"])
-    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-    plain = df._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in plain
+    assert dict(rows(m["dim_products"], "product_id", "product_category_name"))["p1"] == "health_beauty"
+    assert "broadcast" not in m["dim_products"]._jdf.queryExecution().logical().toString().lower()

@@ -120,26 +120,40 @@ def test_known_answers(spark):
     assert got["o9"].found is False and got["o9"].passed is False
 
 
+def test_repeated_expectations_give_a_row_each(spark):
+    actual = df(spark, [("o1", 10.0, 1, 1, False, 1)], R.PAYMENT_EXPECTATION_SCHEMA)
+    exp = df(spark, [("o1", 10.0, None, None, None, None), ("o1", 11.0, None, None, None, None)], R.PAYMENT_EXPECTATION_SCHEMA)
+    assert rows(R.known_answers(actual, exp), "order_id", "passed") == [("o1", False), ("o1", True)]
+    assert R.of_expected_keys(actual, exp).count() == 1
+
+
 def test_suite_summary(spark):
     res = df(spark, [("a", "m1", True), ("b", "m1", False), ("c", "m2", True)], "check_id string, model string, passed boolean")
     got = {r.model: (r.checks, r.failed_checks, r.passed) for r in R.suite_summary(res).collect()}
     assert got == {"m1": (2, 1, False), "m2": (1, 0, True), "*": (3, 1, False)}
 
 
-def test_null_profile_nonzero_only(spark):
+def test_null_profile(spark):
     d = df(spark, [("a", None, 1), (None, None, 2)], "x string, y string, z int")
-    assert rows(P.null_profile(d, "t")) == [("t", "x", 1, 2), ("t", "y", 2, 2)]
+    assert rows(P.null_profile(d, "t")) == [("t", "*", 3, 2), ("t", "x", 1, 2), ("t", "y", 2, 2)]
+    assert rows(P.null_profile(d.select("z"), "clean")) == [("clean", "*", 0, 2)]
 
 
 def test_key_duplicates_distinguish_null_positions(spark):
     d = df(spark, [("1", None), ("1", None), (None, "1"), ("2", "2")], "a string, b string")
     got = rows(P.key_duplicates({"t": (d, ["a", "b"])}))
-    assert got == [("t", "a,b", "1|<null>", 2)]
+    assert got == [("t", "a,b", '"1",null', 2)]
+
+
+def test_key_text_is_never_ambiguous(spark):
+    keys = [("a|b", "c"), ("a", "b|c"), ('a","b', "c"), ("a", 'b","c'), ("null", None), (None, "null"), ("a\\", "b"), ("a", "\\b")]
+    texts = [r[0] for r in df(spark, keys, "a string, b string").select(P.key_text(["a", "b"])).collect()]
+    assert len(set(texts)) == len(keys)
 
 
 def test_casing_variants(spark):
     d = df(spark, [("Sao Paulo",), ("sao paulo ",), ("SAO PAULO",), ("rio",), ("rio",)], "city string")
-    assert rows(P.casing_variants(d, "city")) == [("sao paulo", 3)]
+    assert rows(P.casing_variants([("t", d, "city")])) == [("t", "city", "sao paulo", 3)]
 
 
 def test_domains(spark):

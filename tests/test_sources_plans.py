@@ -38,8 +38,10 @@ def test_csv_reader_bom_crlf_quoted_newline_and_zip_text(spark):
     assert sources.load(spark, d, "raw_customers").first().customer_zip_code_prefix == "01037"
 
     out = _scratch()
-    written = sources.ingest(spark, d, out)
+    written = sources.ingest(spark, d, out, ["raw_reviews", "raw_customers"])
     assert set(written) == {"raw_reviews", "raw_customers"}
+    with pytest.raises(FileNotFoundError):
+        sources.ingest(spark, d, out)
     assert sources.load(spark, out, "raw_reviews").count() == 2
     assert sources.columns_of(sources.load(spark, out, "raw_customers"))[0] == "customer_id"
 
@@ -53,9 +55,55 @@ def test_malformed_csv_row_fails(spark):
         sources.load(spark, d, "raw_payments").collect()
 
 
-def test_unknown_source_name(spark):
+def test_unknown_and_missing_sources(spark):
     with pytest.raises(KeyError):
         sources.load(spark, "/nowhere", "raw_geolocation")
+    with pytest.raises(FileNotFoundError):
+        sources.load(spark, "/nowhere", "raw_orders")
+
+
+def test_reordered_header_fails(spark):
+    d = _scratch()
+    with open(os.path.join(d, "raw_sellers.csv"), "w") as f:
+        f.write("seller_state,seller_city,seller_zip_code_prefix,seller_id\nSP,x,01037,s1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.load(spark, d, "raw_sellers").collect()
+
+
+def test_paths_with_a_scheme(spark):
+    d = _scratch()
+    with open(os.path.join(d, "raw_sellers.csv"), "w") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01037,x,SP\n")
+    out = f"file://{_scratch()}"
+    sources.ingest(spark, f"file://{d}", out, ["raw_sellers"])
+    assert sources.load(spark, out, "raw_sellers").first().seller_id == "s1"
+    assert sources.load(spark, out, "raw_sellers").inputFiles()[0].endswith(".parquet")
+
+
+def test_category_lookup_from_csv(spark):
+    d = _scratch()
+    with open(os.path.join(d, "raw_product_category_translation.csv"), "wb") as f:
+        f.write("﻿product_category_name,product_category_name_english\r\nbeleza_saude,health_beauty\r\npcs,computers".encode())
+    got = {tuple(r) for r in sources.load(spark, d, "raw_product_category_translation").collect()}
+    assert got == {("beleza_saude", "health_beauty"), ("pcs", "computers")}
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+    from emporium import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})()
+
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Session())
 
 
 def _plan(df) -> str:
@@ -100,12 +148,40 @@ def test_no_python_udf_in_any_registered_query(spark):
             assert node not in plan, (key, node)
 
 
+def _same_tables(published, lazy) -> None:
+    """All five marts read back hold the rows of the lazy models."""
+    assert len(published) == 5
+    for name, df in published.items():
+        assert df.columns == lazy[name].columns
+        assert df.exceptAll(lazy[name]).count() == 0 and lazy[name].exceptAll(df).count() == 0
+
+
+def test_same_key_of_three_layers_is_shuffled_once(spark):
+    """Staging, intermediate and mart line items share one aggregate by key."""
+    from emporium.plans.suite import COMBINATION, Check, run_suite
+
+    suite = [Check(m, COMBINATION, ("order_id", "order_item_id")) for m in ("stg_order_items", "int_order_items", "fct_order_items")]
+    df = run_suite(models(spark, SF_SMALL), suite)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = run_suite(models(spark, SF_SMALL), suite)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert df.count() == 3 and plan.count("ReusedExchange") >= 2
+
+
 def test_publish_marts_bucketed_facts_join_without_exchange(spark):
     out = _scratch()
     m = models(spark, SF_SMALL)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        pub = publish_marts(spark, m, out, bucket_facts=4)
+        with pytest.raises(ValueError):
+            publish_marts(spark, m, out, bucket_facts=4)
+        spark.sql("CREATE DATABASE IF NOT EXISTS marts_test")
+        pub = publish_marts(spark, m, out, bucket_facts=4, database="marts_test")
+        _same_tables(pub, m)
+        for fact in ("fct_order_items", "fct_orders"):
+            assert len([x for x in os.listdir(os.path.join(out, fact)) if x.startswith("part-")]) <= 4
         from emporium.operators.checks import relationship_violations
 
         items, orders = pub["fct_order_items"], pub["fct_orders"]
@@ -116,7 +192,8 @@ def test_publish_marts_bucketed_facts_join_without_exchange(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("fct_order_items", "fct_orders"):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            spark.sql(f"DROP TABLE IF EXISTS marts_test.{name}")
+        spark.sql("DROP DATABASE IF EXISTS marts_test")
 
 
 def test_build_and_test_pipeline_matches_lazy_suite(spark):
@@ -125,7 +202,10 @@ def test_build_and_test_pipeline_matches_lazy_suite(spark):
     from emporium.sources import standin
 
     raw = standin.raw_tables(spark, SF_SMALL)
-    marts, results = build_and_test(spark, raw, _scratch())
+    marts, results, payments, measures = build_and_test(spark, raw, _scratch())
+    _same_tables(marts, models(spark, SF_SMALL))
+    assert payments.where("issue = 'amount_mismatch'").count() == 0
+    assert measures.first().passed
     stored = {r.check_id: r.failures for r in results.collect()}
     lazy = {r.check_id: r.failures for r in run_suite(models(spark, SF_SMALL)).collect()}
     assert len(stored) == 53 and stored == lazy
