@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, packing, quality, secrets, token_counts, token_store
+from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, oracle, packing, quality, secrets, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -81,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licence_scans": op10_licence_scans,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.ORACLE
