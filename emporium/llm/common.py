@@ -109,3 +109,87 @@ def drop_scratch(spark: SparkSession, *frames: DataFrame) -> None:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             if path.toUri().getPath().startswith(jvm.org.apache.hadoop.fs.Path(root).toUri().getPath() + "/"):
                 path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+PART = 1 << 16  # numbers per row while arrays are added up
+GATHER = 256  # rows that one task adds up at first
+
+
+def array_rows(counts: np.ndarray, task: int) -> pa.RecordBatch:
+    """An array of a task in rows of ``PART`` numbers, for ``summed_arrays``."""
+    parts = range(-(-len(counts) // PART))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(parts, pa.int32()), pa.array([task // GATHER] * len(parts), pa.int32()), pa.array([counts[p * PART : (p + 1) * PART].astype(np.int64).tobytes() for p in parts], pa.binary())],
+        names=["part", "salt", "counts"],
+    )
+
+
+ARRAY_ROWS = "part int, salt int, counts binary"
+
+
+def summed_arrays(rows: DataFrame, size: int) -> np.ndarray:
+    """Sum of the tasks' arrays of ``size`` numbers, which only the sum reaches
+    the driver: first over ``GATHER`` tasks each, then over these."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(len(table.column("counts")[0].as_buffer()) // 8, np.int64)
+        for x in table.column("counts"):
+            total += np.frombuffer(x.as_buffer(), np.int64)
+        return pa.table({"part": table.column("part")[:1], "salt": table.column("salt")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    parts = rows.groupBy("part", "salt").applyInArrow(add, ARRAY_ROWS).groupBy("part").applyInArrow(add, ARRAY_ROWS)
+    out = np.zeros(size, np.int64)
+    for row in parts.select("part", "counts").collect():
+        at = row["part"] * PART
+        out[at : at + PART] = np.frombuffer(row["counts"], np.int64)
+    return out
+
+
+FILTER_BITS = 1 << 25  # 4 MB, whatever the number of ids
+
+
+class IdFilter:
+    """A Bloom filter of a column of ids, of fixed size.
+
+    It holds every id it was made of; the more ids there are, the more others
+    pass too, so it only ever saves work, such as texts that need not be read
+    again.  Its words are combined in Spark; the driver gets at most 4 MB."""
+
+    def __init__(self, ids: DataFrame, column: str):
+        places = [F.pmod(F.xxhash64(F.col(column).cast("long"), F.lit(seed)), F.lit(FILTER_BITS)) for seed in range(3)]
+        words = (
+            ids.where(F.col(column).isNotNull())
+            .select(F.explode(F.array(*places)).alias("place"))
+            .groupBy(F.expr("place >> 6").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+            .toArrow()
+        )
+        table = np.zeros(FILTER_BITS // 64, np.int64)
+        table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+        self.bits = ids.sparkSession.sparkContext.broadcast(table)
+
+    @staticmethod
+    def places(column: str) -> list:
+        """Columns to pass along for ``holds``."""
+        return [F.pmod(F.xxhash64(F.col(column).cast("long"), F.lit(seed)), F.lit(FILTER_BITS)).alias(f"place{seed}") for seed in range(3)]
+
+    def may_hold(self, column: str):
+        """Column: may the id be one of the ids."""
+        bits = self.bits
+
+        @F.arrow_udf("boolean")
+        def held(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+            out = np.ones(len(a), bool)
+            for place in (x.to_numpy(zero_copy_only=False) for x in (a, b, c)):
+                out &= (bits.value[place >> 6] >> (place & 63)) & 1 == 1
+            return pa.array(out)
+
+        return held(*IdFilter.places(column))
+
+    def holds(self, batch: pa.RecordBatch) -> np.ndarray:
+        """For each row whether its id may be one of the ids."""
+        out = np.ones(batch.num_rows, bool)
+        for seed in range(3):
+            place = batch.column(f"place{seed}").to_numpy(zero_copy_only=False)
+            out &= (self.bits.value[place >> 6] >> (place & 63)) & 1 == 1
+        return out

@@ -2,24 +2,30 @@
 
 Sketches.  The shingle hashes of a document fall into buckets; a bucket's
 signature is the XOR of its hashes, so it is equal in two documents unless a
-shingle of their symmetric difference falls into it.  A second sketch of 256
-bits flips one bit per shingle; the Hamming distance of two such sketches never
-exceeds the symmetric difference.
+shingle of their symmetric difference falls into it.  Two more sketches, one of
+256 bits and one of four to eight bits a shingle, flip one bit per shingle; the
+Hamming distance of two such sketches never exceeds the symmetric difference.
 
 Join.  Sizes a, b with |A n B| >= t |A u B| (t = num/den) have a symmetric
 difference of at most (a + b)(den - num)/(den + num) = D.  Documents are joined
 per size band [2^o, 2^(o+1)); one that is near enough to the next band's lower
-end joins that band as well.  Of the non-empty buckets, taken in order, a
-document offers its first D+1: at most D buckets differ, so the first bucket
-that is equal and not empty is among the first D+1 of both sides.  If both
-have fewer than D+1 non-empty buckets, there may be none; such documents offer
-the band itself as one more key.  So no link is lost.
+end joins that band as well.  Of the non-empty buckets, in an order that
+depends only on a bucket's own shingles, a document offers its first D+1: at
+most D buckets differ, so the first bucket that is equal and not empty is among
+the first D+1 of both sides.  If both have fewer than D+1 non-empty buckets,
+there may be none; such documents offer the band itself as one more key.  So no
+link is lost.
+
+Order.  Buckets with a rare shingle come first, so that lines and passages that
+very many documents share make no keys.  How frequent a shingle is, is read from
+a table of 2^21 counters over all documents, which only steers the order.
 
 Verification.  Documents of equal sets are one node from the start.  First each
 node is checked against one other: of the smallest nodes at its keys, the one
 it shares most keys with.  What is linked so is one component.  Then every pair
-of nodes that shares a key but not a component is checked, if sizes and the
-Hamming bound allow it.  Checks compare whole shingle sets (64-bit hashes).
+of nodes that shares a key but not a component is checked.  A check asks if
+sizes and both Hamming bounds allow a link, then compares the whole shingle
+sets (64-bit hashes).
 Pairs inside a component are never made, so copies by the thousand cost one
 check each.
 
@@ -37,10 +43,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import MULTIPLIERS, batch_rows, drop_scratch, id_and_text, mix, shingle_hashes, slices, sorted_distinct, stored
+from emporium.llm.common import ARRAY_ROWS, MULTIPLIERS, IdFilter, array_rows, batch_rows, drop_scratch, id_and_text, mix, shingle_hashes, slices, sorted_distinct, stored, summed_arrays
 from emporium.llm.components import components
 
 BITS = [f"s{i}" for i in range(4)]
@@ -69,47 +76,91 @@ def buckets(band: int, num: int, den: int) -> int:
     return most if most == 1 else most + most // 10 + 1
 
 
-def signatures(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Join keys of a set, as int64."""
+def signatures(shingles: np.ndarray, num: int, den: int, levels: np.ndarray | None = None) -> np.ndarray:
+    """Join keys of a set, as int64; ``levels`` says how frequent shingles are."""
     n, keys = len(shingles), []
     most = difference_bound(n, n * den // num, num, den)
     spread = mix(shingles ^ MULTIPLIERS[0])
+    level = np.zeros(n, np.uint8) if levels is None else levels[counter_of(shingles)]
     for band in bands(n, num, den):
         bucket = spread % np.uint64(buckets(band, num, den))
         order = np.argsort(bucket)
         at = bucket[order]
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        parity = np.bitwise_xor.reduceat(shingles[order], first)[: most + 1]
-        place = mix(at[first][: most + 1] + np.uint64(band << 40 | 1))
+        rarest = np.minimum.reduceat(level[order], first)
+        chosen = np.argsort(rarest, kind="stable")[: most + 1]
+        parity = np.bitwise_xor.reduceat(shingles[order], first)[chosen]
+        place = mix(at[first][chosen] + np.uint64(band << 40 | 1))
         keys.append(mix(parity ^ place))
         if len(first) <= most:
             keys.append(mix(np.array([band << 40 | 3], np.uint64)))
     return np.concatenate(keys).astype(np.int64)
 
 
+COUNTERS = 1 << 21
+
+
+def counter_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(20)).astype(np.int64) & (COUNTERS - 1)
+
+
+def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
+    """Per counter the binary logarithm of the documents that hold one of its
+    shingles, counted over all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in slices(batches, 1000):
+            own = [counter_of(document_set(t, k)) for t in batch_rows(batch, "text")[0]]
+            counts += np.bincount(np.concatenate(own), minlength=COUNTERS)
+        yield array_rows(counts, TaskContext.get().partitionId())
+
+    counts = summed_arrays(docs.select("text").mapInArrow(count, ARRAY_ROWS), COUNTERS)
+    return np.log2(counts + 1).astype(np.uint8)
+
+
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
     """256 bits, as four int64: one flip per shingle."""
     flips = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256) & 1
     return np.packbits(flips.astype(np.uint8)).view("<i8")
 
 
+def fine_bits(shingles: np.ndarray) -> np.ndarray:
+    """Four to eight bits a shingle, a power of two of them: one flip per shingle."""
+    size = 64 << max(0, len(shingles).bit_length() - 4)
+    place = (mix(shingles ^ MULTIPLIERS[1]) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=size) & 1).astype(np.uint8))
+
+
+def bits_apart(one: np.ndarray, two: np.ndarray) -> int:
+    """Hamming distance of two fine sketches, the longer one folded: a bound
+    from below on the symmetric difference."""
+    if len(one) < len(two):
+        one, two = two, one
+    while len(one) > len(two):
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
 def _sketches(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    schema = "doc_id long, n long, set_a long, set_b long, s0 long, s1 long, s2 long, s3 long, keys array<long>"
-    names = ["doc_id", "n", "set_a", "set_b", *BITS, "keys"]
+    schema = "doc_id long, n long, set_a long, set_b long, s0 long, s1 long, s2 long, s3 long, fine binary, keys array<long>"
+    names = ["doc_id", "n", "set_a", "set_b", *BITS, "fine", "keys"]
+    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
             ids, texts = batch_rows(batch, "doc_id", "text")
             numbers = np.zeros((7, len(ids)), np.int64)
-            keys = []
+            keys, fine = [], []
             for i, text in enumerate(texts):
                 shingles = document_set(text, k)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), "<i8")
                 numbers[:, i] = [len(shingles), *digest, *parity_bits(shingles)]
-                keys.append(signatures(shingles, num, den) if len(shingles) else np.zeros(0, np.int64))
+                fine.append(fine_bits(shingles).tobytes())
+                keys.append(signatures(shingles, num, den, levels.value) if len(shingles) else np.zeros(0, np.int64))
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, numbers), lists], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, numbers), pa.array(fine, pa.binary()), lists], names=names)
 
     return docs.mapInArrow(run, schema)
 
@@ -121,16 +172,30 @@ def _may_link(a: str, b: str, num: int, den: int):
     return (F.least(n(a), n(b)) * den >= F.greatest(n(a), n(b)) * num) & (apart * (den + num) <= (n(a) + n(b)) * (den - num))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "join-ids")
+def _verified(docs: DataFrame, nodes: DataFrame, tried: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Those of the pairs ``tried`` (a, b) whose whole sets are similar enough.
+    The fine sketches leave few pairs, and the texts are not shuffled: the sets
+    of documents in pairs are made where these are read, and a filter of fixed
+    size leaves out nearly all others."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 5000):
+            a, b, m, n, x, y = batch_rows(batch, "a", "b", "m", "n", "x", "y")
+            keep = [bits_apart(np.frombuffer(x[i], np.uint8), np.frombuffer(y[i], np.uint8)) <= difference_bound(m[i], n[i], num, den) for i in range(len(a))]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda i, n, f: nodes.select(F.col("doc_id").alias(i), F.col("n").alias(n), F.col("fine").alias(f))
+    drawn = tried.join(side("a", "m", "x"), "a").join(side("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y")
+    pairs = stored(drawn.mapInArrow(near, "a long, b long").distinct(), "join-near")
+    wanted = IdFilter(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
-            own, texts = batch_rows(batch, "doc_id", "text")
+            own, texts = batch_rows(batch.filter(pa.array(wanted.holds(batch))), "doc_id", "text")
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([document_set(t, k).tobytes() for t in texts], pa.binary())], names=["id", "shingles"])
 
-    of = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "id long, shingles binary"), "join-sets")
+    read = docs.where("doc_id is not null").select("doc_id", "text", *IdFilter.places("doc_id"))
+    of = stored(read.mapInArrow(sets, "id long, shingles binary"), "join-sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
@@ -145,7 +210,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) ->
     left = pairs.join(of.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     full = left.join(of.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y")
     links = stored(full.mapInArrow(compare, "a long, b long"), "join-links")
-    drop_scratch(docs.sparkSession, ids, of)
+    drop_scratch(docs.sparkSession, of, pairs)
     return links
 
 
@@ -165,7 +230,7 @@ def classes(
 
     # one node per distinct set, named by its smallest id
     linked = sketches.where("n > 0 and doc_id is not null")
-    row = F.struct("doc_id", "n", *BITS, "keys")
+    row = F.struct("doc_id", "n", *BITS, "fine", "keys")
     nodes = stored(linked.groupBy("set_a", "set_b").agg(F.min_by(row, "doc_id").alias("x")).select("set_a", "set_b", "x.*"), "join-nodes")
     info = nodes.select(F.col("doc_id").alias("id"), "n", *BITS)
     offers = nodes.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
@@ -179,7 +244,7 @@ def classes(
     first = votes.groupBy("id").agg(F.max_by("hub", F.struct("keys", -F.col("hub"))).alias("hub"))
     tried = first.alias("p").join(info.alias("a"), F.expr("p.hub = a.id")).join(info.alias("b"), F.expr("p.id = b.id"))
     tried = stored(tried.where(_may_link("a", "b", num, den)).select(F.col("p.hub").alias("a"), F.col("p.id").alias("b")).distinct(), "join-first")
-    links = _verified(docs, tried, k, num, den)
+    links = _verified(docs, nodes, tried, k, num, den)
     # an id of several sets holds them together
     sets = linked.groupBy("doc_id").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("set_a", "set_b")))
     several = sets.where("min_set_a <> max_set_a or min_set_b <> max_set_b").select("doc_id")
@@ -198,7 +263,7 @@ def classes(
     )
     rest = other.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
     rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "join-rest")
-    more = _verified(docs, rest, k, num, den)
+    more = _verified(docs, nodes, rest, k, num, den)
     name = lambda side: label.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
     joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left")
     second = components(joined.select(F.coalesce("la", "a").alias("u"), F.coalesce("lb", "b").alias("v")))

@@ -11,7 +11,7 @@ from edge_cases import docs, empty, pairs
 
 from emporium.llm import jaccard_join as J
 from emporium.llm import queries
-from emporium.llm.common import table
+from emporium.llm.common import IdFilter, table
 from emporium.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +89,7 @@ def test_edge_cases_and_op3(spark):
 def test_signatures_lose_no_pair():
     """Any two sets within the bound share a key, sparse buckets included."""
     rng = np.random.default_rng(5)
+    levels = rng.integers(0, 12, J.COUNTERS).astype(np.uint8)
     for _ in range(3000):
         n = int(rng.integers(1, 120))
         one = rng.integers(0, 2**63, n, dtype=np.uint64)
@@ -100,6 +101,8 @@ def test_signatures_lose_no_pair():
         both = len(np.intersect1d(one, two))
         if len(two) and 100 * both >= 85 * (len(one) + len(two) - both):
             assert set(J.signatures(one, 85, 100)) & set(J.signatures(two, 85, 100))
+            assert set(J.signatures(one, 85, 100, levels)) & set(J.signatures(two, 85, 100, levels))
+            assert J.bits_apart(J.fine_bits(one), J.fine_bits(two)) <= len(one) + len(two) - 2 * both
             apart = np.bitwise_count((J.parity_bits(one) ^ J.parity_bits(two)).view(np.uint64)).sum()
             assert apart <= J.difference_bound(len(one), len(two), 85, 100)
 
@@ -109,3 +112,18 @@ def test_components_of_chains_and_stars(spark):
     found = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {i: 100 for i in range(101, 141)} | {i: 1 for i in (2, 3, 4, 5, 7)} | {200: 150}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_id_filter_holds_every_id_and_few_others(spark):
+    import pyarrow as pa
+
+    wanted = IdFilter(spark.range(0, 9000, 3).withColumnRenamed("id", "doc_id"), "doc_id")
+
+    def passed(batches):
+        for batch in batches:
+            yield batch.select(["id"]).filter(pa.array(wanted.holds(batch)))
+
+    found = {r["id"] for r in spark.range(9000).select("id", *IdFilter.places("id")).mapInArrow(passed, "id long").collect()}
+    assert set(range(0, 9000, 3)) <= found and len(found) < 3100
+    nothing = IdFilter(spark.range(0).withColumnRenamed("id", "doc_id"), "doc_id")
+    assert not nothing.bits.value.any()
