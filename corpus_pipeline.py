@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from emporium.llm import decontam, jaccard_join, packing, quality, secrets
-from emporium.llm.common import stored, table
+from emporium.llm.common import IdFilter, stored, table
 from emporium.llm.queries import tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,13 +32,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies (five words, 0.8): the one
-    of the smallest id, once."""
-    found = jaccard_join.classes(docs, k=5, num=80, den=100)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
+    of the smallest id, once.  Only documents that may go, or whose id occurs
+    more than once, are shuffled; all others stay where they are read."""
+    found = jaccard_join.classes(docs, k=5, num=80, den=100).where("doc_id is not null")
+    rows = found.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows"), F.min("component_id").alias("__component"))
+    odd = stored(rows.where("__rows > 1 or __id <> __component").select("__id", F.expr("__id = __component").alias("__stays")), "pipeline-odd")
+    marked = docs.withColumn("__odd", F.col("doc_id").isNotNull() & IdFilter(odd, "__id").may_hold("doc_id"))
+    plain = marked.where("not __odd").drop("__odd")
     first = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    once = kept.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
-    return once.unionByName(docs.where("doc_id is null"))
+    looked_at = marked.where("__odd").drop("__odd").join(odd, F.col("doc_id") == F.col("__id"), "left").where("coalesce(__stays, true)")
+    once = looked_at.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(docs.columns)
+    return plain.unionByName(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,12 +32,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and
-    survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    survives lost executors.  The shuffle files of the write are dropped when it
+    has ended (else they stay until the driver collects its garbage)."""
+    spark = df.sparkSession
+    path, before = scratch(spark, name), spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before) if before else spark.conf.unset(DROP_SHUFFLES)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

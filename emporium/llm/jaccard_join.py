@@ -226,18 +226,23 @@ def classes(
     id that is reachable over links of a Jaccard similarity >= num/den."""
     spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
-    sketches = stored(_sketches(docs, k, num, den), "join-sketches")
+    whole = stored(_sketches(docs, k, num, den), "join-sketches")
 
     # one node per distinct set, named by its smallest id
-    linked = sketches.where("n > 0 and doc_id is not null")
     row = F.struct("doc_id", "n", *BITS, "fine", "keys")
-    nodes = stored(linked.groupBy("set_a", "set_b").agg(F.min_by(row, "doc_id").alias("x")).select("set_a", "set_b", "x.*"), "join-nodes")
-    info = nodes.select(F.col("doc_id").alias("id"), "n", *BITS)
+    named_sets = whole.where("n > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min_by(row, "doc_id").alias("x"))
+    nodes = stored(named_sets.select("set_a", "set_b", "x.*"), "join-nodes")
+    sketches = stored(whole.select("doc_id", "n", "set_a", "set_b"), "join-sets-of")
+    drop_scratch(spark, whole)
+    linked = sketches.where("n > 0 and doc_id is not null")
     offers = nodes.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
 
     # nodes at keys that several nodes offer
     hubs = stored(offers.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub"), "join-hubs")
     shared = stored(offers.join(hubs, "key"), "join-shared")
+    offering, nodes = nodes, stored(nodes.drop("keys"), "join-nodes")
+    drop_scratch(spark, offering)
+    info = nodes.select(F.col("doc_id").alias("id"), "n", *BITS)
 
     # a node against the hub it shares most keys with
     votes = shared.where("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys"))

@@ -8,11 +8,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from edge_cases import docs, empty, pairs
+from pyspark.sql import functions as F
 
 from emporium.llm import jaccard_join as J
 from emporium.llm import queries
-from emporium.llm.common import IdFilter, table
+from emporium.llm.common import DROP_SHUFFLES, IdFilter, drop_scratch, stored, table
 from emporium.llm.components import components
+from emporium.session import path_exists
 
 SF = "/root/testdata/sf0.001"
 
@@ -127,3 +129,12 @@ def test_id_filter_holds_every_id_and_few_others(spark):
     assert set(range(0, 9000, 3)) <= found and len(found) < 3100
     nothing = IdFilter(spark.range(0).withColumnRenamed("id", "doc_id"), "doc_id")
     assert not nothing.bits.value.any()
+
+
+def test_stored_leaves_the_session_as_it_was(spark):
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    kept = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test-stored")
+    assert spark.conf.get(DROP_SHUFFLES, None) == before
+    assert kept.count() == 7
+    drop_scratch(spark, kept)
+    assert not path_exists(spark, kept.inputFiles()[0].rsplit("/", 1)[0])
