@@ -6,6 +6,8 @@ their own columns, so extra or clashing column names in the input never matter.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -102,10 +104,16 @@ class Numbers(dict):
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Cut the batches of a partition into pieces of at most ``rows`` rows."""
+    """Cut the batches of a partition into pieces of at most ``rows`` rows; in
+    the end give the worker's unused memory back, as workers outlive tasks."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def drop_scratch(spark: SparkSession, *frames: DataFrame) -> None:
@@ -120,7 +128,7 @@ def drop_scratch(spark: SparkSession, *frames: DataFrame) -> None:
                 path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-PART = 1 << 16  # numbers per row while arrays are added up
+PART = 1 << 14  # numbers per row while arrays are added up
 GATHER = 256  # rows that one task adds up at first
 
 

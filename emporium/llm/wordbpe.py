@@ -45,8 +45,8 @@ CLASS[ord("a") : ord("z") + 1] = 1
 CLASS[128:] = 1
 CLASS[ord("0") : ord("9") + 1] = 2
 
-CHUNK = 1 << 20  # bytes of text cut at once
-KEPT = 1 << 20  # pieces that a worker keeps: about 60 MB with their hash table
+CHUNK = 1 << 19  # bytes of text cut at once
+KEPT = 1 << 19  # pieces that a worker keeps: about 30 MB with their hash table
 LONG_PIECE = 64  # characters up to which every prefix of a piece is counted
 SHORT = 6  # letters of a prefix whose count is kept: many words begin alike
 
