@@ -8,9 +8,9 @@ table of a document as one signed step per UTF-8 byte; ``tokens_at`` and
 encoding anything again.
 
 Defined results: a null or empty text has 0 bytes, 0 tokens and an empty table;
-a null id stays a null id; repeated rows give one result row each.  Inside a
-run of over 64 letters or signs the table holds the count at the run's end, so
-that ``longest_prefix`` never cuts there.
+a null id stays a null id; repeated rows give one result row each.  The table
+is exact at every character, also inside long runs without white space
+(``prefixbpe``).
 """
 
 from __future__ import annotations

@@ -23,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 
 from emporium.llm.common import mix
+from emporium.llm.prefixbpe import PrefixCounter
 
 # Fixed values of the tokenizer file's format: the shape it must have for its
 # texts to be cut at white space.
@@ -47,7 +48,7 @@ CLASS[ord("0") : ord("9") + 1] = 2
 
 CHUNK = 1 << 19  # bytes of text cut at once
 KEPT = 1 << 19  # pieces that a worker keeps: about 30 MB with their hash table
-LONG_PIECE = 64  # characters up to which every prefix of a piece is counted
+LONG_PIECE = 64  # characters up to which every prefix of a piece is encoded on its own
 SHORT = 6  # letters of a prefix whose count is kept: many words begin alike
 
 
@@ -164,6 +165,7 @@ class WordEncoder:
             and all("<|" in t["content"] for t in conf["added_tokens"])
         )
         self.letters = byte_letters()
+        self.path, self.counter = path, None
         self.prefixes: dict[str, int] = {}
         self.piece_ids = PieceTable(self.dtype, self._piece_ids)
         self.piece_steps = PieceTable(np.int32, self._piece_steps)
@@ -191,7 +193,7 @@ class WordEncoder:
         """Change of the count at each byte of a piece.  The prefixes of a
         contraction are cut otherwise than itself, so they go to the library."""
         if len(piece) > LONG_PIECE:
-            return spread(piece, [len(self._model(piece))] * len(piece))
+            return spread(piece, self._counter().piece(piece))
         if piece[0] == "'" and len(piece) > 1:
             return spread(piece, [len(self._library(piece[:i])) for i in range(1, len(piece) + 1)])
         return spread(piece, [self._prefix(piece[:i]) for i in range(1, len(piece) + 1)])
@@ -200,7 +202,12 @@ class WordEncoder:
         text = word.decode()
         if len(text) <= LONG_PIECE:
             return spread(text, [len(self._library(text[:i])) for i in range(1, len(text) + 1)])
-        return spread(text, [len(self._library(text))] * len(text))
+        return spread(text, self._counter().word(text))
+
+    def _counter(self) -> PrefixCounter:
+        if self.counter is None:
+            self.counter = PrefixCounter(self.path, self.library, self.letters)
+        return self.counter
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of whole texts, in the smallest width that holds the vocabulary."""

@@ -45,6 +45,42 @@ def test_contractions_and_special_strings():
     assert [list(x) for x in encoder(PATH).ids([t.encode() for t in batch])] == [ids_of(t) for t in batch]
 
 
+LONG_RUNS = {
+    "chinese": "我们在河边看见一座古老的石桥，桥下的水流很慢。孩子们说：“明天再来吧！”" * 8,
+    "unbroken chinese": "".join(chr(0x4E00 + i * i * 37 % 5000) for i in range(200)),
+    "japanese": "がぎ川の石橋をゆっくり渡ると、カﾞタカナと漢字が混ざる。" * 6,
+    "thai": "สะพานหินเก่าแก่ข้ามแม่น้ำและเด็กๆกำลังเล่นน้ำ" * 4,
+    "hangul": "한국어 문장".replace(" ", "") * 20 + "\u1112\u1161\u11ab" * 30,
+    "hindi": "नदीकेकिनारेपुरानापत्थरकापुल\u0958" * 6,
+    "letters": "internationalisationofunbrokenwordsandxxxxxxxxyyzzz" * 5,
+    "one letter": "x" * 300 + "é",
+    "signs": "!?'" * 80 + "ß",
+    "contractions": "中we'rest'll's''sİ'd!'ve're'l'" * 8,
+    "contractions with marks": "中're\u0301x'll\u0323y's\u0327'" * 12,
+    "long runs of marks": ("'re" + "\u0317\u0301\u0323\u0327" * 12 + "é!'" + "\u0301" * 40 + "'ll") * 4,
+    "marks": "a" + "\u0301\u0323\u0327" * 40 + "bİ̇!i̇!" * 10,
+    "special strings": "é<|endoftext|>中<|endoft<|startoftext|><|ENDOFTEXT|>'s" * 4,
+    "spaces of other kinds": "é\u00a0a\u3000中\u2003'\u00a0s1٣½" * 9,
+}
+
+
+@pytest.mark.parametrize("name", LONG_RUNS)
+def test_prefix_counts_inside_long_runs(name):
+    text = LONG_RUNS[name]
+    steps = token_counts.steps_of([text.encode()], PATH)[0]
+    got = [token_counts.tokens_at(steps, len(text[:i].encode())) for i in range(len(text) + 1)]
+    assert got == [len(ids_of(text[:i])) for i in range(len(text) + 1)]
+
+
+def test_limit_inside_a_text_without_white_space(spark):
+    rows = [(1, LONG_RUNS["chinese"] * 9), (2, "x" * 30_000), (3, "é" + "ab!" * 4000)]
+    for r in token_counts.prefix_table(docs(spark, rows), PATH, limit=2048).collect():
+        text = dict(rows)[r["doc_id"]]
+        kept = text.encode()[: r["limit_bytes"]].decode()
+        assert r["n_tokens"] == len(ids_of(text)) > 2048
+        assert len(ids_of(kept)) <= 2048 < len(ids_of(text[: len(kept) + 1]))
+
+
 def test_very_long_text_is_cut_at_white_space():
     text = ("river Stone, don't " * 60_000) + "x" * 700_000
     got = encoder(PATH).ids([b"a", text.encode(), b"b"])
