@@ -32,16 +32,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies (five words, 0.8): the one
-    of the smallest id, once.  Only documents that may go, or whose id occurs
-    more than once, are shuffled; all others stay where they are read."""
-    found = jaccard_join.classes(docs, k=5, num=80, den=100).where("doc_id is not null")
-    rows = found.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows"), F.min("component_id").alias("__component"))
-    odd = stored(rows.where("__rows > 1 or __id <> __component").select("__id", F.expr("__id = __component").alias("__stays")), "pipeline-odd")
-    marked = docs.withColumn("__odd", F.col("doc_id").isNotNull() & IdFilter(odd, "__id").may_hold("doc_id"))
-    plain = marked.where("not __odd").drop("__odd")
-    first = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    looked_at = marked.where("__odd").drop("__odd").join(odd, F.col("doc_id") == F.col("__id"), "left").where("coalesce(__stays, true)")
-    once = looked_at.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(docs.columns)
+    of the smallest id, once.  A node is an id with one of its texts (a 64-bit
+    hash of both), so unrelated texts of one id stay.  Only documents that may
+    go, or that a copy is of, are shuffled; all others stay where they are read."""
+    words = F.when(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.col("text"))  # texts without words are equal
+    nodes = docs.withColumn("__node", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", words)))
+    found = jaccard_join.classes(nodes, k=5, num=80, den=100, id_col="__node").where("doc_id is not null")
+    rows = found.groupBy(F.col("doc_id").alias("__node")).agg(F.count(F.lit(1)).alias("__rows"), F.min("component_id").alias("__component"))
+    copies = stored(rows.where("__rows > 1 or __node <> __component").select("__node", "__component"), "pipeline-copies")
+    group = copies.unionByName(copies.select(F.col("__component").alias("__node"), "__component")).distinct()
+    may = IdFilter(group, "__node")
+    marked = nodes.withColumn("__odd", F.col("__node").isNotNull() & may.may_hold("__node"))
+    named = marked.where("__odd").select("__node", "doc_id").distinct().join(group, "__node")
+    first = named.groupBy("__component").agg(F.min(F.struct("doc_id", "__node")).alias("x")).select(F.col("x.__node").alias("__first"))
+    odd = group.join(first, F.col("__node") == F.col("__first"), "left").select(F.col("__node").alias("__id"), F.col("__first").isNotNull().alias("__stays"))
+    odd = stored(odd, "pipeline-odd")
+    plain = marked.where("not __odd").select(docs.columns)
+    looked_at = marked.where("__odd").join(odd, F.col("__node") == F.col("__id"), "left").where("coalesce(__stays, true)")
+    once = looked_at.withColumn("__nth", F.row_number().over(W.partitionBy("__node").orderBy("__node"))).where("__nth = 1").select(docs.columns)
     return plain.unionByName(once)
 
 

@@ -134,3 +134,12 @@ def test_stages_take_odd_rows(spark):
     assert Counter(ids(near)) == {1: 1, 2: 1, 3: 1, None: 1}
     assert Counter(ids(corpus_pipeline.decontaminate(spark, rows, SF))) == {1: 1, 2: 1, 3: 2, None: 1}
     assert Counter(ids(corpus_pipeline.hide_secrets(spark, rows, SF))) == {1: 1, 2: 1, 3: 2, None: 1}
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    one, two, three = ("a b c d e f g h i j k l", " ".join(f"m{i}" for i in range(40)), "n o p q r s t u v w x y")
+    rows = [(3, one), (3, two), (3, two), (4, two + " end"), (2, three), (5, three + " "), (6, None), (6, " \n"), (6, one + " z z"), (None, one), (None, one)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = pairs(corpus_pipeline.near_duplicates(spark, frame, SF))
+    assert Counter((i, t) for i, t in out if i != 6) == Counter([(3, one), (3, two), (2, three), (None, one), (None, one)])
+    assert len([t for i, t in out if i == 6 and not (t or "").strip()]) == 1
