@@ -125,4 +125,59 @@ def _secrets() -> str:
     """
 
 
-ORACLE = {"op3_jaccard_join": JACCARD, "op6_secret_scans": _secrets(), "op10_licence_scans": _licences()}
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of ``text``, bit by bit."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    bits = f"flatten(list_transform(range(octet_length(encode({text}))), lambda i: list_transform(range(8), lambda k: ({byte} >> CAST(k AS INT)) & 1)))"
+    step = "lambda c, b: xor(c >> 1, CASE WHEN (xor(c, b) & 1) = 1 THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), {step}), 4294967295)"
+
+
+def _merkle() -> str:
+    """Whole trees, level by level, and each leaf walked up through both."""
+
+    def leaf(text: str) -> str:
+        fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+    def forest(name: str, bottom: str) -> str:
+        block = "PARTITION BY tree, level, pos // 8 ORDER BY pos ROWS BETWEEN"
+        return f"""
+    {name}(level, tree, pos, digest, width) AS (
+        {bottom}
+        UNION ALL
+        SELECT level + 1, tree, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (max(width) + 7) // 8 FROM {name} WHERE width > 1 GROUP BY level, tree, pos // 8
+    ), {name}_sides AS (
+        SELECT level, tree, pos, coalesce(string_agg(digest, '') OVER ({block} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+            coalesce(string_agg(digest, '') OVER ({block} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+        FROM {name} WHERE width > 1
+    )"""
+
+    def walk(name: str, over: str, bottom: str) -> str:
+        return f"""
+    {name}(tree, start, level, pos, node, proof) AS (
+        {bottom}
+        UNION ALL
+        SELECT w.tree, w.start, w.level + 1, w.pos // 8, sha256(l || node || r), proof || l || r FROM {name} w JOIN {over}_sides s ON w.tree = s.tree AND w.level = s.level AND w.pos = s.pos
+    )"""
+
+    lower = f"translate(text, '{UPPER}', '{LOWER}')"
+    return f"""
+    WITH RECURSIVE hashed AS (
+        SELECT doc_id, lang, {leaf("text")} AS leaf, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS seen FROM documents
+    ), placed AS (
+        SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS width,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+        FROM hashed
+    ), {forest("nodes", "SELECT 0, tree, pos, leaf, width FROM placed")},
+    {forest("roofs", "SELECT 0, 0, tree, digest, count(*) OVER () FROM nodes WHERE width = 1")},
+    {walk("low", "nodes", "SELECT tree, pos, 0, pos, seen, '' FROM placed")},
+    ended AS (SELECT w.tree, start, node, proof, n.digest AS subroot FROM low w JOIN nodes n ON w.tree = n.tree AND w.level = n.level AND w.pos = n.pos WHERE n.width = 1),
+    {walk("high", "roofs", "SELECT 0, tree::VARCHAR || ':' || start::VARCHAR, 0, tree, node, proof FROM ended")},
+    done AS (SELECT start, node, proof, n.digest AS root FROM high w JOIN roofs n ON w.level = n.level AND w.pos = n.pos WHERE n.width = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(d.proof) AS proof_sha256, d.node AS folded_root, d.node = root AS verified
+    FROM placed p JOIN ended e ON p.tree = e.tree AND p.pos = e.start JOIN done d ON d.start = p.tree::VARCHAR || ':' || p.pos::VARCHAR
+    """
+
+
+ORACLE = {"op3_jaccard_join": JACCARD, "op6_secret_scans": _secrets(), "op10_licence_scans": _licences(), "op12_merkle_manifest": _merkle()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, oracle, packing, quality, secrets, token_counts, token_store
+from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, merkle, oracle, packing, quality, secrets, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -17,6 +17,9 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-store")
     token_store.write_store(table(spark, sf_dir, "documents"), path, tokenizer_file(), end_id=2)
@@ -68,6 +71,24 @@ def op10_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licensed(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and whether a tampered copy of it still verifies."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("text", UPPER, UPPER.lower())
+    changed = F.when(tampered, F.unhex(merkle.leaf_of("doc_id", "source", "lang", "n_chars", lower)))
+    manifest = merkle.build(table(spark, sf_dir, "documents").withColumn("changed", changed), carried=["changed"])
+    leaf = F.coalesce(F.lower(F.hex("changed")), F.col("digest"))
+    rows = merkle.proofs(manifest).select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        F.lit(manifest.root).cast("string").alias("root"),
+        merkle.proof_digest().alias("proof_sha256"),
+        merkle.folded(leaf).alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
@@ -79,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_licence_scans": op10_licence_scans,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = oracle.ORACLE
