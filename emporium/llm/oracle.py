@@ -133,6 +133,39 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), {step}), 4294967295)"
 
 
+def _spelling() -> str:
+    """All words with one place masked, and with one place left out."""
+    latin = "[A-Za-z\u00C0-\u00FF]+"
+    letters = f"translate(run, '{UPPER}', '{LOWER}')"
+    h = _crc32("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")
+    return f"""
+    WITH RECURSIVE runs AS (
+        SELECT doc_id, run, count(*) AS times FROM (
+            SELECT doc_id, {letters} AS run FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{latin}')) AS run FROM documents) AS r WHERE length(run) >= 6
+        ) AS l GROUP BY doc_id, run
+    ), hashed AS (SELECT run, times, {h} AS h FROM runs),
+    words AS (
+        SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+            SELECT times, CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM hashed
+        ) AS w WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+    ), places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+    cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+    near AS (
+        SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+        UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+    ), best AS (SELECT word, count(*) AS n_near, max(near_n) AS most, arg_min(near, (-near_n, near)) AS near FROM near GROUP BY word),
+    forms AS (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN near END AS form, CASE WHEN most >= 5 * w.n THEN most END AS form_n
+        FROM words w LEFT JOIN best b ON w.word = b.word
+    ), walk AS (
+        SELECT word, word AS at, form AS next FROM forms
+        UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN forms f ON f.word = walk.next
+    )
+    SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN walk ON walk.word = f.word AND walk.next IS NULL
+    """
+
+
 def _merkle() -> str:
     """Whole trees, level by level, and each leaf walked up through both."""
 
@@ -180,4 +213,4 @@ def _merkle() -> str:
     """
 
 
-ORACLE = {"op3_jaccard_join": JACCARD, "op6_secret_scans": _secrets(), "op10_licence_scans": _licences(), "op12_merkle_manifest": _merkle()}
+ORACLE = {"op3_jaccard_join": JACCARD, "op6_secret_scans": _secrets(), "op10_licence_scans": _licences(), "op11_spelling_variants": _spelling(), "op12_merkle_manifest": _merkle()}

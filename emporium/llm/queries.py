@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, merkle, oracle, packing, quality, secrets, token_counts, token_store
+from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, merkle, oracle, packing, quality, secrets, spelling, token_counts, token_store
 from emporium.llm.common import scratch, table
 
 
@@ -71,6 +71,11 @@ def op10_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licensed(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), shortest=6, misspell=199)
+    return spelling.variants(words.where("n >= 5"), ratio=5)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, and whether a tampered copy of it still verifies."""
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_licence_scans": op10_licence_scans,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
