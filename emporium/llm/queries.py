@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, merkle, oracle, packing, quality, secrets, spelling, token_counts, token_store
+from emporium.llm import decontam, html_model, jaccard_join, kn_lm, licences, merkle, oracle, packing, quality, secrets, spelling, token_counts, token_store, toxicity
 from emporium.llm.common import scratch, table
 
 
@@ -94,6 +94,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.scores(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
@@ -107,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licence_scans": op10_licence_scans,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLE: dict[str, str] = oracle.ORACLE
