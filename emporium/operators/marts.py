@@ -32,13 +32,26 @@ def dim_sellers(stg_sellers: DataFrame) -> DataFrame:
     return stg_sellers.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix")
 
 
+def one_row_per_key(lookup: DataFrame, key: str) -> DataFrame:
+    """``lookup`` with one row per non-null ``key``; a repeated key fails when the
+    rows are made.  An aggregate by the key, so it needs no job of its own, and a
+    hot key is one row per task before the shuffle."""
+    others = [c for c in lookup.columns if c != key]
+    rows = lookup.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *(F.first(c).alias(c) for c in others))
+    said = F.concat(F.lit(f"lookup has several rows of {key} = "), F.col(key).cast("string"))
+    once = lambda c: F.when(F.col("_n") > 1, F.raise_error(said)).otherwise(F.col(c)).alias(c)
+    return rows.select(key, *map(once, others))
+
+
 def dim_products(stg_products: DataFrame, stg_translation: DataFrame) -> DataFrame:
     """Products with the English category name where a translation exists.
 
     The translation is a lookup of tens of rows, which Spark broadcasts by its
-    size.  A null category stays null, an untranslated one keeps its name.
+    size.  A null category stays null, an untranslated one keeps its name.  A
+    category with two translations fails the query that reads the model, instead
+    of multiplying products (M5 within the plan).
     """
-    t = stg_translation.select(
+    t = one_row_per_key(stg_translation, "product_category_name").select(
         F.col("product_category_name").alias("_category"),
         F.col("product_category_name_english").alias("_category_english"),
     )

@@ -75,6 +75,7 @@ from emporium.operators import reconcile as R  # noqa: E402
 from emporium.operators.intermediate import int_order_payments  # noqa: E402
 from emporium.operators.marts import FCT_ORDERS_COLUMNS  # noqa: E402
 from emporium.plans.suite import run_suite  # noqa: E402
+from emporium.sources.footers import null_profiles  # noqa: E402
 
 # Fixed values used by the registered checks.
 ACCEPTED_EVENT_TYPES = ("view", "signup", "click", "purchase")
@@ -303,6 +304,12 @@ def prof_null_counts(spark, sf_dir):
     return P.null_profiles({**raw(spark, sf_dir), "fct_orders": models(spark, sf_dir)["fct_orders"]})
 
 
+@register("prof_footer_nulls")
+def prof_footer_nulls(spark, sf_dir):
+    """Rows and nulls of the given tables, from the footers of their files."""
+    return null_profiles(spark, {t: f"{sf_dir}/{t}.parquet" for t in standin.SCHEMAS}, standin.SCHEMAS)
+
+
 # The candidate keys of the raw tables.
 KEY_CANDIDATES = {
     "raw_orders": ("order_id",),

@@ -261,6 +261,21 @@ def _nulls(table: str) -> str:
 
 ORACLE["prof_null_counts"] = sql(union(map(_nulls, COLUMNS)))
 
+# Columns of the given tables.
+GIVEN = {
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "labels": "doc_id quality toxic",
+}
+ORACLE["prof_footer_nulls"] = union(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_count, count(*) AS row_count FROM {t}" for t, columns in GIVEN.items() for c in columns.split()
+)
+
 KEYS = {
     "raw_orders": "order_id", "raw_products": "product_id", "raw_customers": "customer_id", "raw_payments": "order_id,payment_sequential", "raw_reviews": "review_id",
     "raw_sellers": "seller_id", "raw_order_items": "order_id,order_item_id", "raw_product_category_translation": "product_category_name",

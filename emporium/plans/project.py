@@ -2,14 +2,15 @@
 
 ``build_models`` wires the 17 models as lazy DataFrames; building them runs no
 job.  ``publish_marts`` writes the five marts as tables (full
-overwrite) after the fan-out guard on the category lookup, optionally
-bucketing both facts by ``order_id`` so order-keyed checks later join them
-without a shuffle.
+overwrite, one after another) after the fan-out guard on the category lookup,
+optionally bucketing both facts by ``order_id`` so order-keyed checks later join
+them without a shuffle.  ``build_and_test`` publishes them at once, by version
+(``plans.publish``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -126,21 +127,24 @@ def build_and_test(
     out_dir: str,
     bucket_facts: int | None = None,
     database: str | None = None,
+    blocking: Collection[str] = (),
 ):
     """Build every model, publish the marts, then check what was published.
 
-    Checks of the marts read the stored tables (as after a table
-    materialization); checks of staging and intermediate models read their
-    lazy plans (views).  Returns ``(published marts, suite results, payment
-    reconciliation, measure propagation)``; the last two compare the stored
-    order fact with the raw payments and the intermediate models.
+    The marts are published as one version (``plans.publish``): readers see all
+    of them or none.  Checks of the marts read the stored tables, but for those
+    counted while these were written; checks of staging and intermediate models
+    read their lazy plans (views).  ``blocking`` names checks that must pass
+    before the commit (none by default: failures are reported).  Returns
+    ``(published marts, suite results, payment reconciliation, measure
+    propagation)``; the last two compare the stored order fact with the raw
+    payments and the intermediate models.
     """
     from emporium.operators.reconcile import measure_propagation, payment_reconciliation
-    from emporium.plans.suite import run_suite
+    from emporium.plans.publish import publish
 
     models = build_models(raw)
-    marts = publish_marts(spark, models, out_dir, bucket_facts, database)
-    checked = {name: (marts[name] if name in marts else models[name]) for name in models}
+    marts, results = publish(spark, models, out_dir, blocking, bucket_facts, database)
     payments = payment_reconciliation(marts["fct_orders"], raw["raw_payments"])
     measures = measure_propagation(marts["fct_orders"], models["int_order_items_summary"], models["int_order_payments"])
-    return marts, run_suite(checked), payments, measures
+    return marts, results.where("kind <> 'assertion'"), payments, measures
