@@ -162,33 +162,35 @@ def summed_arrays(rows: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-FILTER_BITS = 1 << 25  # 4 MB, whatever the number of ids
+FILTER_BITS = 1 << 28  # 32 MB at most, whatever the number of ids
 
 
 class IdFilter:
-    """A Bloom filter of a column of ids, of fixed size.
+    """A Bloom filter of a column of ids: 12 bits an id, rounded up to a power of
+    two, between 128 KB and 32 MB.
 
-    It holds every id it was made of; the more ids there are, the more others
-    pass too, so it only ever saves work, such as texts that need not be read
-    again.  Its words are combined in Spark; the driver gets at most 4 MB."""
+    It holds every id it was made of; beyond some 20 million ids more and more
+    others pass too, so it only ever saves work, such as texts that need not be
+    read again.  Its words are combined in Spark; the driver gets the filter."""
 
     def __init__(self, ids: DataFrame, column: str):
-        places = [F.pmod(F.xxhash64(F.col(column).cast("long"), F.lit(seed)), F.lit(FILTER_BITS)) for seed in range(3)]
+        ids = stored(ids.select(F.col(column).cast("long").alias(column)).where(F.col(column).isNotNull()).distinct(), "filter-ids")
+        self.size = min(FILTER_BITS, max(1 << 20, 1 << (12 * ids.count()).bit_length()))
+        places = [F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(self.size)) for seed in range(3)]
         words = (
-            ids.where(F.col(column).isNotNull())
-            .select(F.explode(F.array(*places)).alias("place"))
+            ids.select(F.explode(F.array(*places)).alias("place"))
             .groupBy(F.expr("place >> 6").alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
             .toArrow()
         )
-        table = np.zeros(FILTER_BITS // 64, np.int64)
+        drop_scratch(ids.sparkSession, ids)
+        table = np.zeros(self.size // 64, np.int64)
         table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
         self.bits = ids.sparkSession.sparkContext.broadcast(table)
 
-    @staticmethod
-    def places(column: str) -> list:
+    def places(self, column: str) -> list:
         """Columns to pass along for ``holds``."""
-        return [F.pmod(F.xxhash64(F.col(column).cast("long"), F.lit(seed)), F.lit(FILTER_BITS)).alias(f"place{seed}") for seed in range(3)]
+        return [F.pmod(F.xxhash64(F.col(column).cast("long"), F.lit(seed)), F.lit(self.size)).alias(f"place{seed}") for seed in range(3)]
 
     def may_hold(self, column: str):
         """Column: may the id be one of the ids."""
@@ -201,7 +203,7 @@ class IdFilter:
                 out &= (bits.value[place >> 6] >> (place & 63)) & 1 == 1
             return pa.array(out)
 
-        return held(*IdFilter.places(column))
+        return held(*self.places(column))
 
     def holds(self, batch: pa.RecordBatch) -> np.ndarray:
         """For each row whether its id may be one of the ids."""

@@ -79,10 +79,11 @@ def buckets(band: int, num: int, den: int) -> int:
 def signatures(shingles: np.ndarray, num: int, den: int, levels: np.ndarray | None = None) -> np.ndarray:
     """Join keys of a set, as int64; ``levels`` says how frequent shingles are."""
     n, keys = len(shingles), []
-    most = difference_bound(n, n * den // num, num, den)
     spread = mix(shingles ^ MULTIPLIERS[0])
     level = np.zeros(n, np.uint8) if levels is None else levels[counter_of(shingles)]
     for band in bands(n, num, den):
+        # no partner in the band is larger than its upper end
+        most = difference_bound(n, min(n * den // num, (2 << band) - 1), num, den)
         bucket = spread % np.uint64(buckets(band, num, den))
         order = np.argsort(bucket)
         at = bucket[order]
@@ -194,7 +195,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, tried: DataFrame, k: int, num:
             own, texts = batch_rows(batch.filter(pa.array(wanted.holds(batch))), "doc_id", "text")
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([document_set(t, k).tobytes() for t in texts], pa.binary())], names=["id", "shingles"])
 
-    read = docs.where("doc_id is not null").select("doc_id", "text", *IdFilter.places("doc_id"))
+    read = docs.where("doc_id is not null").select("doc_id", "text", *wanted.places("doc_id"))
     of = stored(read.mapInArrow(sets, "id long, shingles binary"), "join-sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -109,6 +109,39 @@ def test_signatures_lose_no_pair():
             assert apart <= J.difference_bound(len(one), len(two), 85, 100)
 
 
+def test_no_set_needs_the_band_key_where_buckets_abound():
+    """Random sets of all sizes: within a band a partner is no larger than its
+    end, so sets near the end do not meet at the key of the whole band."""
+    rng = np.random.default_rng(9)
+    for num in (80, 85):
+        for n in [*range(200, 256), *range(400, 512, 7), *range(900, 1024, 11)]:
+            keys = J.signatures(rng.integers(0, 2**63, n, dtype=np.uint64), num, 100)
+            bands = {int(x) for x in J.mix(np.array([b << 40 | 3 for b in J.bands(n, num, 100)], np.uint64)).astype(np.int64)}
+            assert not bands & set(keys.tolist()), n
+
+
+def near_family(rng: random.Random, start: int, n: int, words: int, edits: int):
+    base = [f"b{rng.randrange(10**6)}" for _ in range(words)]
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(edits):
+            own[rng.randrange(words)] = f"e{rng.randrange(10**6)}"
+        rows.append((start + i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("k,num,den", [(4, 85, 100), (5, 80, 100)])
+def test_family_of_near_copies_and_a_hot_passage(spark, k, num, den):
+    """A hundred copies around the threshold from each other, and a passage that
+    is two thirds of two hundred unlike documents."""
+    rng = random.Random(k)
+    rows = near_family(rng, 0, 60, 130, 2) + near_family(rng, 1000, 60, 260, 6)
+    passage = " ".join(f"p{i}" for i in range(120))
+    rows += [(2000 + i, " ".join(f"o{rng.randrange(10**6)}" for _ in range(30)) + " " + passage + " " + " ".join(f"o{rng.randrange(10**6)}" for _ in range(30))) for i in range(200)]
+    assert got(docs(spark, rows), k, num, den) == brute(rows, k, num, den)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(1, 6)] + [(200, 150), (150, 200), (9, 9)]
     found = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -125,7 +158,7 @@ def test_id_filter_holds_every_id_and_few_others(spark):
         for batch in batches:
             yield batch.select(["id"]).filter(pa.array(wanted.holds(batch)))
 
-    found = {r["id"] for r in spark.range(9000).select("id", *IdFilter.places("id")).mapInArrow(passed, "id long").collect()}
+    found = {r["id"] for r in spark.range(9000).select("id", *wanted.places("id")).mapInArrow(passed, "id long").collect()}
     assert set(range(0, 9000, 3)) <= found and len(found) < 3100
     nothing = IdFilter(spark.range(0).withColumnRenamed("id", "doc_id"), "doc_id")
     assert not nothing.bits.value.any()
