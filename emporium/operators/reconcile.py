@@ -8,8 +8,9 @@ by the number of problems (or of layers / expectations), never by the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,11 +26,11 @@ def payment_reconciliation(
 
     Payment rows with a null order are dropped before grouping; on both sides
     a missing total counts as 0; totals agree when ``isclose(abs_tol=0.01)``.
-    Two joins of order-grain sides, unique per order, give both directions:
-    a left join finds orders whose total disagrees, an anti join payments whose
-    order is absent from the fact.  Both reuse the aggregate's partitioning,
-    and a fact full of null orders is split like any skewed left side (a full
-    outer join could not be).
+    One full outer join of the two order-grain sides gives both directions, orders
+    whose total disagrees and payments whose order is absent from the fact, so
+    neither side is worked out twice.  It reuses the aggregate's partitioning.  A
+    full outer join cannot be split at runtime; its sides hold an order once, and
+    the only key that may be hot, the null order, matches nothing and goes past it.
 
     Columns: ``order_id, issue, total_paid_amount, recomputed_total``.
     """
@@ -41,14 +42,13 @@ def payment_reconciliation(
     fact = fct_orders.select("order_id", "total_paid_amount")
     paid = F.coalesce(F.col("total_paid_amount"), F.lit(0.0))
     again = F.coalesce(F.col("_recomputed"), F.lit(0.0))
-
-    def reported(rows: DataFrame, issue: str, paid) -> DataFrame:
-        # the unrounded sum depends on summation order; expose it in cents
-        return rows.select("order_id", F.lit(issue).alias("issue"), paid.alias("total_paid_amount"), money_round(again).alias("recomputed_total"))
-
-    differs = fact.join(recomputed, "order_id", "left").where(~is_close(paid, again, abs_tol=tolerance))
-    absent = recomputed.join(fact.select("order_id"), "order_id", "left_anti")
-    return reported(differs, "amount_mismatch", paid).unionByName(reported(absent, "payment_without_order", F.lit(0.0)))
+    known = fact.where("order_id is not null").withColumn("_in_fact", F.lit(True))
+    nameless = fact.where("order_id is null").select("*", F.lit(True).alias("_in_fact"), F.lit(None).cast("double").alias("_recomputed"))
+    both = known.join(recomputed, "order_id", "full_outer").unionByName(nameless)
+    issue = F.when(F.col("_in_fact").isNull(), "payment_without_order").when(~is_close(paid, again, abs_tol=tolerance), "amount_mismatch")
+    # the unrounded sum depends on summation order; expose it in cents
+    rows = both.select("order_id", issue.alias("issue"), paid.alias("total_paid_amount"), money_round(again).alias("recomputed_total"))
+    return rows.where("issue is not null")
 
 
 def grain_parity(layers: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
@@ -167,6 +167,26 @@ def null_totals(fct_orders: DataFrame, amount: str = "total_paid_amount") -> Dat
     )
 
 
+MOST_RANGES = 64  # prefixes that become ranges in one filter
+
+
+def after_prefix(prefix: str) -> str | None:
+    """The least text, by code points, above all texts that begin with ``prefix``;
+    None if there is none."""
+    for end in range(len(prefix), 0, -1):
+        code = ord(prefix[end - 1])
+        if code < 0x10FFFF:
+            return prefix[: end - 1] + chr(0xE000 if code == 0xD7FF else code + 1)
+    return None
+
+
+def in_prefix_range(column: str, prefix: str) -> Column:
+    """``column`` begins with ``prefix``, as a range (null ids are in none)."""
+    end = after_prefix(prefix)
+    c = F.col(column)
+    return (c >= F.lit(prefix)) & (c < F.lit(end)) if end else c >= F.lit(prefix)
+
+
 def resolve_prefixes(
     ids: DataFrame,
     id_col: str,
@@ -177,33 +197,32 @@ def resolve_prefixes(
 
     ``status`` is ``ok`` (one distinct id, given in ``resolved_id``),
     ``missing`` (none) or ``ambiguous`` (several; ``n_matches`` says how many).
-    An inner equi-join on the id's leading characters finds the matching ids;
-    the prefix list is the caller's argument and Spark broadcasts it by its
-    size.  Only matching ids are aggregated, and the result is joined back to
-    the prefixes to report the missing ones.  Prefixes are plain text: ``_`` and
-    ``%`` match themselves.
+    A few case-sensitive prefixes become ranges of ids that are pushed into the
+    scan.  Case-insensitive ones, and long lists, are found by an inner equi-join
+    on the id's leading characters; the prefix list is the caller's argument and
+    Spark broadcasts it by its size.  Only matching ids are aggregated, and the
+    result is joined back to the prefixes to report the missing ones.  Prefixes
+    are plain text: ``_`` and ``%`` match themselves.
     """
     spark: SparkSession = ids.sparkSession
-    wanted = spark.createDataFrame(
-        [(p,) for p in dict.fromkeys(prefixes)],
-        T.StructType([T.StructField("prefix", T.StringType(), False)]),
-    )
-    fold = F.lower if case_insensitive else (lambda c: c)
-    # Equi-join on the id's head: one scan emits, per id, its first L
-    # characters for each distinct prefix length L (a handful), which are
-    # hash-joined to the broadcast prefixes.  No nested-loop join, and no
-    # wildcard meaning for '_' or '%'.
-    lengths = sorted({len(p) for p in prefixes})
-    heads = ids.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).select(
-        "_id", F.explode(F.array(*[F.substring("_id", 1, n) for n in lengths])).alias("_head")
-    )
-    keyed = wanted.select("prefix", fold(F.col("prefix")).alias("_key"))
-    hits = (
-        heads.join(keyed, fold(F.col("_head")) == F.col("_key"))
-        .where(has_prefix("_id", "prefix", case_insensitive))
-        .groupBy("prefix")
-        .agg(F.count_distinct("_id").alias("n_matches"), F.min("_id").alias("_any_id"))
-    )
+    prefixes = list(dict.fromkeys(prefixes))
+    wanted = spark.createDataFrame([(p,) for p in prefixes], T.StructType([T.StructField("prefix", T.StringType(), False)]))
+    ids = ids.select(F.col(id_col).alias("_id"))
+    if not case_insensitive and len(prefixes) <= MOST_RANGES:
+        # ranges reach the scan, which skips row groups outside of all of them
+        within = reduce(Column.__or__, (in_prefix_range("_id", p) for p in prefixes), F.lit(False))
+        each = F.array_compact(F.array(*(F.when(F.col("_id").startswith(p), F.lit(p)) for p in prefixes)))
+        found = ids.where(within).select("_id", F.explode(each).alias("prefix")) if prefixes else wanted.select(F.col("prefix").alias("_id"), "prefix")
+    else:
+        # Equi-join on the id's head: one scan emits, per id, its first L
+        # characters for each distinct prefix length L (a handful), which are
+        # hash-joined to the prefixes.  No nested-loop join, and no wildcard
+        # meaning for '_' or '%'.
+        fold = F.lower if case_insensitive else (lambda c: c)
+        heads = ids.where("_id is not null").select("_id", F.explode(F.array(*[F.substring("_id", 1, n) for n in sorted({len(p) for p in prefixes})])).alias("_head"))
+        keyed = wanted.select("prefix", fold(F.col("prefix")).alias("_key"))
+        found = heads.join(keyed, fold(F.col("_head")) == F.col("_key")).where(has_prefix("_id", "prefix", case_insensitive))
+    hits = found.groupBy("prefix").agg(F.count_distinct("_id").alias("n_matches"), F.min("_id").alias("_any_id"))
     out = wanted.join(hits, "prefix", "left")
     n = F.coalesce(F.col("n_matches"), F.lit(0))
     status = F.when(n == 0, "missing").when(n == 1, "ok").otherwise("ambiguous")

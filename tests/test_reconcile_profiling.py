@@ -196,3 +196,44 @@ def test_has_prefix_plain_and_case_insensitive(spark):
     d = df(spark, [("Abc%1",), ("abcx",), (None,)], "id string")
     got = [tuple(r) for r in d.select(has_prefix("id", F.lit("Abc%")).alias("a"), has_prefix("id", F.lit("abc"), True).alias("b")).collect()]
     assert got == [(True, True), (False, True), (None, None)]
+
+
+def test_prefixes_become_ranges_in_the_scan(spark, tmp_path):
+    """Few case-sensitive prefixes reach the files' row groups; results are those of a plain match."""
+    ids = ["", "a", "ab", "ab%c", "abz", "ac", "a_", "b퟿", "bx", "b\U0010ffff", "b\U0010ffffy", "c", "C", "é", None, "ab"]
+    path = str(tmp_path / "ids.parquet")
+    spark.createDataFrame([(i,) for i in ids], "id string").coalesce(1).write.parquet(path)
+    prefixes = ["ab", "a_", "b퟿", "b\U0010ffff", "\U0010ffff", "", "é", "zz", "ab", "C"]
+    frame = spark.read.parquet(path)
+    got = R.resolve_prefixes(frame, "id", prefixes)
+    want = []
+    for p in dict.fromkeys(prefixes):
+        hits = {i for i in ids if i is not None and i.startswith(p)}
+        want.append((p, {0: "missing", 1: "ok"}.get(len(hits), "ambiguous"), len(hits), hits.pop() if len(hits) == 1 else None))
+    assert rows(got) == sorted(want, key=repr)
+    some = R.resolve_prefixes(frame, "id", ["ab", "zz"])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(id,ab),LessThan(id,ac)),And(GreaterThanOrEqual(id,zz),LessThan(id,z{)))]" in plan
+    many = [f"p{i}" for i in range(R.MOST_RANGES)] + ["ab", "a_"]
+    assert {r["prefix"]: r["n_matches"] for r in R.resolve_prefixes(frame, "id", many).where("n_matches > 0").collect()} == {"ab": 3, "a_": 1}
+
+
+def test_reconciliation_works_each_side_out_once(spark):
+    from emporium.plans.catalog import models
+
+    m = models(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = R.payment_reconciliation(m["fct_orders"], m["stg_payments"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan
+
+
+def test_reconciliation_reports_null_orders_of_the_fact(spark):
+    fact = spark.createDataFrame([("a", 5.0), ("b", 1.0), (None, 3.0), (None, 0.001), (None, None), ("c", None)], "order_id string, total_paid_amount double")
+    paid = spark.createDataFrame([("a", "2.5"), ("a", "2.5"), ("b", "1.5"), ("d", "0.0"), (None, "9"), ("c", "0.001")], "order_id string, payment_value string")
+    got = rows(R.payment_reconciliation(fact, paid))
+    assert got == sorted([("b", "amount_mismatch", 1.0, 1.5), (None, "amount_mismatch", 3.0, 0.0), ("d", "payment_without_order", 0.0, 0.0)], key=repr)
