@@ -81,6 +81,7 @@ def _boiler(kind: str, name: str, i: int) -> str:
 def labelled_pages() -> Iterator[str]:
     """Pages of known labels: every boilerplate name before, beside, inside or
     after the content, content in every kind of container."""
+    yield from _neutral_pages()
     names, around_names = CONTENT.split(), ("wrapper", "container", "site", "layout")
     every = [(kind, name) for kind, all_names in BOILER.items() for name in all_names.split()]
     bare = [("nav", "nav"), ("header", "header"), ("footer", "footer"), ("aside", "aside")]
@@ -103,6 +104,23 @@ def labelled_pages() -> Iterator[str]:
         yield f"<body>{body if i % 4 else '<div class=page>' + body + '</div>'}</body>"
 
 
+def _neutral_pages() -> Iterator[str]:
+    """Short articles of one to three paragraphs beside a few links or a line of
+    small print, all under names that say nothing: text and links decide."""
+    body = (SENTENCE, LONG, f"{SENTENCE} <i>So</i> they said.", "It rained all day in the town, and they went home.")
+    for i in range(48):
+        links = "".join((f"<li><a href='/{w}'>{w}</a></li>", f"<a href='/{w}'>{w}</a> ")[i % 2] for w in ("Home", "News", "Sport", "About us")[: 2 + i % 3])
+        links = f"<ul>{links}</ul>" if i % 2 == 0 else links
+        own = "".join(f"<p>{body[(i + j) % 4]}</p>" for j in range(1 + i % 3))
+        tag = ("div", "section", "article", "main")[i % 4]
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        content = f"<{tag} data-content class='k{letters[i % 26]}'>{own}</{tag}>"
+        beside = f"<div data-boiler class='k{letters[(i + 7) % 26]}'>{links}</div>"
+        small = "<div data-boiler><p>&copy; 2024</p></div>" if i % 5 == 0 else ""
+        parts = (beside + content, content + beside)[i // 4 % 2] + small
+        yield f"<body>{parts if i % 3 else '<div>' + parts + '</div>'}</body>"
+
+
 class Model:
     """Weights of the features for the label content, and of label pairs."""
 

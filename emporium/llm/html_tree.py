@@ -1,7 +1,12 @@
 """Pages as trees of block elements and blocks of text.
 
 A forgiving parser: unclosed and misnested tags never fail, scripts, styles and
-comments are no text, inline elements belong to the block they stand in.
+comments are no text, inline elements belong to the block they stand in.  Of
+elements without content of the page (drawings, frames, templates and the like)
+what lies between their own two tags is skipped; one that is self-closed, or
+never closed, hides nothing after it.  Only a script, a style or a comment that
+never ends runs to the end of the page.  Reading takes time in proportion to the
+page: quotes that never close count in so many tags only.
 """
 
 from __future__ import annotations
@@ -9,16 +14,17 @@ from __future__ import annotations
 import re
 from html import unescape
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>""",
-    re.S,
-)
+START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+TAG = re.compile(r"""<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+PLAIN_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>")
+UNQUOTED = 64  # tags whose quotes never close, after which quotes no longer count in a page
 ATTRIBUTE = re.compile(r"""(class|id|role|data-content|data-boiler)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME = re.compile("[a-z]+")
 
 # Fixed values of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "math", "head", "select", "datalist"}
+RAW = {"script", "style", "textarea", "title"}  # hold text up to their end tag
+SKIPPED = {"noscript", "template", "svg", "iframe", "object", "math", "select", "datalist", "head"}  # hold no content of the page
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "rp", "rt",
     "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
@@ -109,37 +115,70 @@ class Tree:
                 return
 
     def _read(self, html: str) -> None:
-        at = 0
-        while True:
-            m = TOKEN.search(html, at)
+        at, strict = 0, UNQUOTED
+        ends: dict[str, dict[int, int]] = {}
+        endless: set[str] = set()  # tags that are not closed any more
+        while start := START.search(html, at):
+            begin = start.start()
+            if start[0] == "<!--":
+                end = html.find("-->", begin + 4)
+                self._say(html[at:begin])
+                at = end + 3 if end >= 0 else len(html)
+                continue
+            if start[0] in ("<!", "<?"):
+                end = html.find(">", begin)
+                self._say(html[at:begin] if end >= 0 else html[at : begin + 2])
+                at = end + 1 if end >= 0 else begin + 2
+                continue
+            m = TAG.match(html, begin) if strict else None
             if not m:
-                self._say(html[at:])
+                strict = max(0, strict - 1)
+                m = PLAIN_TAG.match(html, begin)
+            if not m:  # no tag ends any more; only a comment may hide text
+                end = html.find("<!--", begin)
+                self._say(html[at:end] if end >= 0 else html[at:])
+                at = len(html)
                 break
-            if m.start() > at:
-                self._say(html[at : m.start()])
+            self._say(html[at:begin])
             at = m.end()
-            tag = m["tag"] or m["tag2"]
-            if not tag:
-                continue
-            tag = tag.lower()
-            if m["end"] or m["end2"]:
+            tag = m["tag"].lower()
+            if m["end"]:
                 self._close(tag)
             elif tag == "br":
                 self._say(" ")
             elif tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
+                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at) if tag not in endless else None
                 if end:
                     at = end.end()
-                elif tag == "head":
-                    body = re.compile("<body", re.I).search(html, at)
-                    at = body.start() if body else at
                 else:
-                    at = len(html)
+                    endless.add(tag)
+                    after = html.find("<", at) if tag in ("title", "textarea") else -1
+                    at = after if after >= 0 else len(html)
+            elif tag in SKIPPED:
+                if not m["attrs"].endswith("/"):
+                    if tag not in ends:
+                        ends[tag] = matching_ends(html, tag)
+                    at = max(at, ends[tag].get(begin, at))
             else:
-                self._open(tag, m["attrs"] or m["attrs2"] or "")
+                self._open(tag, m["attrs"])
+        self._say(html[at:])
         self._flush()
 
 
+def matching_ends(html: str, tag: str) -> dict[int, int]:
+    """Where the element that starts at a place ends, for all elements ``tag``
+    that are closed; one that is not holds nothing."""
+    starts: list[int] = []
+    out: dict[int, int] = {}
+    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", html, re.I):
+        if not m[1]:
+            if not m[0].endswith("/>"):
+                starts.append(m.start())
+        elif starts:
+            out[starts.pop()] = m.end()
+    return out
+
+
 def measures(text: str, linked: int, links: int, tag: str) -> tuple:
     """What the model sees of a block of text, each in a few steps."""
     n = text.count(" ") + 1

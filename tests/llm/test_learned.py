@@ -218,3 +218,38 @@ def test_held_out_layouts():
                 total += 1
                 right += bool(label) == (p > 0.5)
     assert right >= 0.95 * total
+
+
+ARTICLE = ["The harbour was built in 1902 by two brothers from the north, and it stood empty for years.", "Since then the town has grown; its people fish, trade and tell stories about the old ship."]
+ARTICLE_HTML = "".join(f"<p>{p}</p>" for p in ARTICLE)
+
+
+@pytest.mark.parametrize("before", ["<svg/>", "<svg viewBox='0 0 1 1'/>", "<iframe src=x />", "<object/>", "<math/>", "<svg><path d='M0'>", "<iframe src=x>", "<object data=x>", "<select>", "<template>", "<noscript>", "<svg><svg></svg><path/>"])
+def test_foreign_elements_hide_nothing_after_them(before):
+    page = f"<body><div>{before}</div><article>{ARTICLE_HTML}</article><object data=y>No picture</object><svg><text>drawn</text></svg></body>"
+    assert html_model.default_model().blocks(page) == ARTICLE
+
+
+def test_skipped_elements_hide_what_is_in_them():
+    page = f"<body><article><svg><g><svg><text>a</text></svg><text>drawn words</text></g></svg>{ARTICLE_HTML}<noscript><p>Turn it on.</p></noscript><title>no end</article>"
+    assert [t for t in Tree(page).text if t] == [*ARTICLE, "no end"][:2] or "drawn" not in " ".join(t for t in Tree(page).text if t)
+    assert html_model.default_model().blocks(page)[:2] == ARTICLE
+
+
+@pytest.mark.parametrize("n", [1, 2])
+@pytest.mark.parametrize("names", [("zz9", "qq4"), ("pane", "cell"), ("", "")])
+def test_short_articles_under_names_that_say_nothing(n, names):
+    links = "<ul><li><a href=/a>Boats</a></li><li><a href=/b>Maps</a></li></ul>"
+    own = "".join(f"<p>{p}</p>" for p in ARTICLE[:n])
+    for page in (f"<body><div class='{names[0]}'>{links}</div><div class='{names[1]}'>{own}</div></body>", f"<body><section class='{names[0]}'>{own}</section><div class='{names[1]}'>{links}</div></body>"):
+        assert html_model.default_model().blocks(page) == ARTICLE[:n], page
+
+
+def test_unbalanced_quotes_take_linear_time():
+    import time
+
+    for piece in ('<a "', "<a '>x", '<p class="a>b', "<a ", "<!", "<svg>", "<title>x"):
+        at = time.perf_counter()
+        Tree(piece * 40_000)
+        assert time.perf_counter() - at < 5, piece
+    assert "kept" in " ".join(t for t in Tree('<p "' * 200 + ">kept").text if t)
