@@ -52,18 +52,37 @@ def test_op7_scores_and_verdicts(spark):
     rows = dict(pairs(table(spark, SF, "documents")))
     labels = table(spark, SF, "labels").collect()
     good = {r["doc_id"] for r in labels if r["quality"] == 1 and r["toxic"] == 0}
+    held = {r["doc_id"] for r in table(spark, SF, "documents").where(quality.left_out()).collect()}
     raw, trusted = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
     own = {i: quality.features(quality.word_hashes((t or "").encode().split()), quality.BUCKETS) for i, t in rows.items()}
     for i, f in own.items():
         np.add.at(raw, f, 1)
-        if i in good:
+        if i in good - held:
             np.add.at(trusted, f, 1)
-    ratio = np.log((trusted + 1) / (trusted.sum() + len(raw))) - np.log((raw + 1) / (raw.sum() + len(raw)))
+    ratio = np.log(trusted + 2) - np.log(raw * trusted.sum() / raw.sum() + 2)
+    score = {i: ratio[f].mean() if len(f) else 0.0 for i, f in own.items()}
+    clean = [score[i] for i in good & held if i in rows and not base_rules(rows[i])[-1]]
+    assert len(clean) >= quality.LEAST
+    threshold = np.mean(clean) - 3 * np.std(clean)
     for r in queries.op7_quality_rules(spark, SF).collect():
-        score = ratio[own[r["doc_id"]]].mean() if len(own[r["doc_id"]]) else 0.0
-        assert r["score"] == pytest.approx(score, abs=1e-5)
+        assert r["score"] == pytest.approx(score[r["doc_id"]], abs=1e-5)
         assert tuple(r[f] for f in FIELDS) == base_rules(rows[r["doc_id"]])
-        assert r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD)
+        assert r["kept"] == (not r["base_failed"] and score[r["doc_id"]] >= threshold)
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_table(spark):
+    """Models fitted on 200, 1,000 and 10,000 documents judge the same ones."""
+    kept, sfs = {}, ("sf0.001", "sf0.01", "sf0.1")
+    models = {sf: quality.fit(table(spark, f"/root/testdata/{sf}", "documents"), table(spark, f"/root/testdata/{sf}", "labels")) for sf in sfs}
+    judged = table(spark, "/root/testdata/sf0.01", "documents")
+    for sf, model in models.items():
+        kept[sf] = {r["doc_id"]: r["kept"] for r in quality.verdicts(judged, model).collect()}
+    same = lambda a, b: sum(kept[a][i] == kept[b][i] for i in kept[a]) / len(kept[a])
+    assert min(same(a, b) for a in sfs for b in sfs) >= 0.95
+    labels = {r["doc_id"]: (r["quality"], r["toxic"]) for r in table(spark, "/root/testdata/sf0.01", "labels").collect()}
+    clean = [k for i, k in kept["sf0.1"].items() if labels.get(i) == (1, 0)]
+    bad = [k for i, k in kept["sf0.1"].items() if labels.get(i, (1, 0))[0] == 0]
+    assert sum(clean) >= 0.95 * len(clean) and sum(bad) <= 0.05 * len(bad)
 
 
 def test_verdict_keeps_good_and_drops_bad(spark):
