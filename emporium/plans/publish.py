@@ -14,7 +14,11 @@ publishers that started from the same version one commits and one raises
 
 With ``bucket_facts`` both facts are catalog tables of ``database``, named after
 mart and version, and the commit says which; ``drop_versions`` removes them
-with the files.  All paths go through Hadoop's file systems.
+with the files.  A bucketed join cannot be split at runtime, so lines of hot
+orders (more lines than a mean bucket) are written to an unbucketed slice next
+to the bucketed one; both are read as one table, or joined slice by slice
+(``Published.slices``, ``operators.joins.join_slices``).  All paths go through
+Hadoop's file systems.
 
 Checks come with the writing: each mart is written under an ``Observation`` that
 counts its rows, its nulls per ``not_null`` column, its values outside an
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Collection, Iterator, Mapping
 from dataclasses import dataclass, field
 
@@ -32,12 +37,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators import checks as C
+from emporium.operators.joins import hot_keys, split_hot
 from emporium.plans.project import MARTS, guard_lookup_fanout
 from emporium.plans.suite import ACCEPTED, NOT_NULL, SUITE, Check, run_suite
 from emporium.sources import footers
 
 ORPHANS, NEGATIVE = "assert_no_orphaned_order_items", "assert_no_negative_payment_amounts"
 AMOUNT = "total_paid_amount"
+LINES = "fct_order_items"  # the one mart in which an order may have many rows
+HOT = "__hot"
 
 
 class CommitConflict(RuntimeError):
@@ -53,13 +61,18 @@ class Published(Mapping):
 
     def __init__(self, spark: SparkSession, out_dir: str, number: int, record: dict):
         self.number, self.version, self.tables = number, record["version"], record["tables"]
+        self.hot = record.get("hot", [])
         self._spark, self._out_dir = spark, out_dir
 
     def __getitem__(self, name: str) -> DataFrame:
+        rows, hot = self.slices(name)
+        return rows if hot is None else rows.unionByName(hot)
+
+    def slices(self, name: str) -> tuple[DataFrame, DataFrame | None]:
+        """The mart without its hot orders, and these (None: there are none)."""
         table = self.tables[name]
-        if table:
-            return self._spark.table(table)
-        return self._spark.read.parquet(self.path(name))
+        rows = self._spark.table(table) if table else self._spark.read.parquet(self.path(name))
+        return rows, self._spark.read.parquet(self.path(name) + HOT) if name in self.hot else None
 
     def path(self, name: str) -> str:
         return f"{version_dir(self._out_dir, self.version)}/{name}"
@@ -81,6 +94,7 @@ class Staged:
     marts: dict[str, DataFrame]
     rows: dict[str, int]
     failures: dict[str, int] = field(default_factory=dict)
+    hot: list[str] = field(default_factory=list)
 
 
 def version_dir(out_dir: str, version: str) -> str:
@@ -122,7 +136,7 @@ def published(spark: SparkSession, out_dir: str) -> Published | None:
 
 def commit(spark: SparkSession, out_dir: str, staged: Staged, after: int) -> Published:
     """Make the staged version the current one, if commit ``after`` (0: none) still is the last."""
-    record = {"version": staged.version, "tables": staged.tables, "rows": staged.rows}
+    record = {"version": staged.version, "tables": staged.tables, "rows": staged.rows, "hot": staged.hot}
     jvm = spark.sparkContext._jvm
     target = f"{_commits(out_dir)}/{after + 1:08d}.json"
     draft, fs = _path(spark, f"{_commits(out_dir)}/.{uuid.uuid4().hex}")
@@ -175,18 +189,28 @@ def stage(
     accepted = {ch.check_id for ch in SUITE if ch.kind == ACCEPTED}
     for name in MARTS:
         path, bucketed = f"{version_dir(out_dir, version)}/{name}", bucket_facts and name.startswith("fct_")
-        seen, measures = Observation(f"{name}-{version}"), _measures(name)
-        df = models[name].repartition(bucket_facts, "order_id") if bucketed else models[name]
-        # last before the writer, so that each row is counted by the task that writes it
-        writer = df.observe(seen, *(m.alias(k) for k, m in measures.items())).write
-        if bucketed:
-            table = f"{database}.{name}_{version}"
-            writer.format("parquet").option("path", path).bucketBy(bucket_facts, "order_id").sortBy("order_id").saveAsTable(table)
-            staged.tables[name], staged.marts[name] = table, spark.table(table)
-        else:
-            writer.parquet(path)
-            staged.tables[name], staged.marts[name] = None, spark.read.parquet(path)
-        counted = dict(seen.get)
+        df, slices = models[name], {"": models[name]}
+        keys = hot_keys(df, "order_id", bucket_facts) if bucketed and name == LINES else []
+        if keys:
+            slices[""], slices[HOT] = split_hot(df, "order_id", keys)
+            staged.hot.append(name)
+        counted: Counter = Counter()
+        for suffix, rows in slices.items():
+            seen, measures = Observation(f"{name}{suffix}-{version}"), _measures(name)
+            if bucketed and not suffix:
+                rows = rows.repartition(bucket_facts, "order_id")
+            # last before the writer, so that each row is counted by the task that writes it
+            writer = rows.observe(seen, *(m.alias(k) for k, m in measures.items())).write
+            if bucketed and not suffix:
+                table = f"{database}.{name}_{version}"
+                writer.format("parquet").option("path", path).bucketBy(bucket_facts, "order_id").sortBy("order_id").saveAsTable(table)
+                staged.tables[name], staged.marts[name] = table, spark.table(table)
+            else:
+                writer.parquet(path + suffix)
+                own = spark.read.parquet(path + suffix)
+                staged.tables.setdefault(name, None)
+                staged.marts[name] = staged.marts[name].unionByName(own) if suffix else own
+            counted.update(seen.get)
         staged.rows[name] = counted.pop("rows")
         # distinct bad values are not known from a count of rows, unless there are none
         staged.failures.update({k: n for k, n in counted.items() if k not in accepted or n == 0})
@@ -234,9 +258,12 @@ def publish(
 
 def null_profile(spark: SparkSession, marts: Published) -> DataFrame:
     """Nulls and rows of every column of the published marts, from the footers of
-    their files: no column is read (``sources.footers``)."""
+    their files: no column is read (``sources.footers``).  A slice of hot orders
+    is a table of its own here."""
     schemas = {name: df.schema for name, df in marts.items()}
-    return footers.null_profiles(spark, {name: marts.path(name) for name in marts}, schemas)
+    paths = {name: marts.path(name) for name in marts}
+    paths |= {name + HOT: marts.path(name) + HOT for name in marts.hot}
+    return footers.null_profiles(spark, paths, schemas | {name + HOT: schemas[name] for name in marts.hot})
 
 
 def drop_versions(spark: SparkSession, out_dir: str, keep: int = 2, unfinished: bool = False) -> list[str]:

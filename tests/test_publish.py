@@ -9,6 +9,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from emporium.operators import joins as J
 from emporium.operators import marts as M
 from emporium.plans import publish as P
 from emporium.plans.catalog import models
@@ -150,3 +151,56 @@ def test_repeated_lookup_key_fails_within_the_plan(spark):
         with pytest.raises(Exception, match="several rows of product_category_name"):
             frame.collect()
     assert {r["product_id"]: r["product_category_name"] for r in good.collect()} == {"p1": "x", "p2": "b", "p3": None, "p4": "unknown"}
+
+
+def _hot_lines(spark, n: int = 40_000):
+    """Lines of which one order holds a third, and one a tenth; some have no order."""
+    order = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, "warm").when(F.col("id") % 997 == 2, F.lit(None)).otherwise((F.col("id") % 7000).cast("string"))
+    lines = spark.range(n, numPartitions=8).select(order.alias("order_id"), F.col("id").cast("int").alias("order_item_id"))
+    columns = [F.lit(c).alias(c) for c in ("product_id", "seller_id")] + [F.lit(1.0).alias(c) for c in ("price", "freight_value")]
+    return lines.select("*", *columns)
+
+
+def test_hot_keys_are_found_exactly(spark):
+    lines = _hot_lines(spark)
+    assert J.hot_keys(lines, "order_id", 16) == ["hot", "warm"] and J.hot_keys(lines, "order_id", 8) == ["hot"]
+    assert J.hot_keys(lines.limit(0), "order_id", 8) == [] and J.hot_keys(lines.where("order_id is null"), "order_id", 8) == []
+    even = spark.range(5000).select((F.col("id") % 50).cast("string").alias("order_id"))
+    assert J.hot_keys(even, "order_id", 50) == [] and len(J.hot_keys(even, "order_id", 51)) == 50
+
+
+def test_hot_orders_are_published_next_to_the_buckets(spark):
+    out, m = _scratch(), models(spark, SF_SMALL)
+    lines = _hot_lines(spark).cache()
+    known = lines.select("order_id").where("order_id is not null and order_id > '3'").distinct()
+    orders = known.select("order_id", *(F.lit(None).cast(f.dataType).alias(f.name) for f in m["fct_orders"].schema.fields if f.name != "order_id"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS hot_test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, results = P.publish(spark, _with(m, fct_order_items=lines, fct_orders=orders), out, (), bucket_facts=8, database="hot_test")
+        now = P.published(spark, out)
+        assert now.hot == ["fct_order_items"] and _same(now["fct_order_items"], lines)
+        cold, hot = now.slices("fct_order_items")
+        assert {r["order_id"] for r in hot.select("order_id").distinct().collect()} == {"hot"}
+        # no bucket is over twice the median one, and the hot order is spread over files
+        sizes = sorted(r["n"] for r in cold.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        files = sorted(r["n"] for r in hot.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect())
+        assert len(files) == 8 and files[-1] <= 2 * files[len(files) // 2]
+        plain = lines.join(orders, "order_id", "left_anti")
+        joined = J.join_slices(cold, hot, now["fct_orders"], "order_id", "left_anti")
+        assert _same(joined, plain) and plain.count() > 0
+        bucketed = cold.join(now["fct_orders"], "order_id", "left_anti")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in bucketed
+        for how in ("inner", "left", "left_semi"):
+            assert _same(J.join_slices(cold, hot, now["fct_orders"], "order_id", how), lines.join(orders, "order_id", how))
+        with pytest.raises(ValueError):
+            J.join_slices(cold, hot, now["fct_orders"], "order_id", "full")
+        found = {r["check_id"]: r["failures"] for r in results.collect()}
+        assert found[P.ORPHANS] == plain.count()
+        rows = {r["table_name"]: r["row_count"] for r in P.null_profile(spark, now).collect()}
+        assert (rows["fct_order_items"], rows["fct_order_items__hot"]) == (cold.count(), hot.count())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE IF EXISTS hot_test CASCADE")
+        lines.unpersist()
