@@ -3,7 +3,7 @@
 Sketches.  The shingle hashes of a document fall into buckets; a bucket's
 signature is the XOR of its hashes, so it is equal in two documents unless a
 shingle of their symmetric difference falls into it.  Two more sketches, one of
-256 bits and one of four to eight bits a shingle, flip one bit per shingle; the
+fixed size and one of four to eight bits a shingle, flip one bit per shingle; the
 Hamming distance of two such sketches never exceeds the symmetric difference.
 
 Join.  Sizes a, b with |A n B| >= t |A u B| (t = num/den) have a symmetric
@@ -22,7 +22,9 @@ a table of 2^21 counters over all documents, which only steers the order.
 
 Verification.  Documents of equal sets are one node from the start.  First each
 node is checked against one other: of the smallest nodes at its keys, the one
-it shares most keys with.  What is linked so is one component.  Then every pair
+it shares most keys with.  What is linked so is one component.  This can be done
+again between components, so that families of near copies grow together at one
+check a node, before pairs are made.  Then every pair
 of nodes that shares a key but not a component is checked.  A check asks if
 sizes and both Hamming bounds allow a link, then compares the whole shingle
 sets (64-bit hashes).
@@ -50,7 +52,8 @@ from pyspark.sql import functions as F
 from emporium.llm.common import ARRAY_ROWS, MULTIPLIERS, IdFilter, array_rows, batch_rows, drop_scratch, id_and_text, mix, shingle_hashes, slices, sorted_distinct, stored, summed_arrays
 from emporium.llm.components import components
 
-BITS = [f"s{i}" for i in range(4)]
+def sketch_words(longs: int) -> list[str]:
+    return [f"s{i}" for i in range(longs)]
 
 
 def document_set(text: bytes, k: int) -> np.ndarray:
@@ -120,9 +123,10 @@ def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
     return np.log2(counts + 1).astype(np.uint8)
 
 
-def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """256 bits, as four int64: one flip per shingle."""
-    flips = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+def parity_bits(shingles: np.ndarray, longs: int = 4) -> np.ndarray:
+    """64 bits for each of ``longs`` (a power of two) int64: one flip per shingle."""
+    size = 64 * longs
+    flips = np.bincount((shingles >> np.uint64(65 - size.bit_length())).astype(np.int64), minlength=size) & 1
     return np.packbits(flips.astype(np.uint8)).view("<i8")
 
 
@@ -143,20 +147,21 @@ def bits_apart(one: np.ndarray, two: np.ndarray) -> int:
     return int(np.bitwise_count(one ^ two).sum())
 
 
-def _sketches(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    schema = "doc_id long, n long, set_a long, set_b long, s0 long, s1 long, s2 long, s3 long, fine binary, keys array<long>"
-    names = ["doc_id", "n", "set_a", "set_b", *BITS, "fine", "keys"]
+def _sketches(docs: DataFrame, k: int, num: int, den: int, longs: int) -> DataFrame:
+    counts = ["n", "set_a", "set_b", *sketch_words(longs)]
+    schema = f"doc_id long, {', '.join(f'{c} long' for c in counts)}, fine binary, keys array<long>"
+    names = ["doc_id", *counts, "fine", "keys"]
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
             ids, texts = batch_rows(batch, "doc_id", "text")
-            numbers = np.zeros((7, len(ids)), np.int64)
+            numbers = np.zeros((len(counts), len(ids)), np.int64)
             keys, fine = [], []
             for i, text in enumerate(texts):
                 shingles = document_set(text, k)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), "<i8")
-                numbers[:, i] = [len(shingles), *digest, *parity_bits(shingles)]
+                numbers[:, i] = [len(shingles), *digest, *parity_bits(shingles, longs)]
                 fine.append(fine_bits(shingles).tobytes())
                 keys.append(signatures(shingles, num, den, levels.value) if len(shingles) else np.zeros(0, np.int64))
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
@@ -166,10 +171,11 @@ def _sketches(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _may_link(a: str, b: str, num: int, den: int):
+def _may_link(a: str, b: str, num: int, den: int, longs: int):
     """Sizes and the Hamming bound of two nodes allow a link."""
     n = lambda x: F.col(f"{x}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in BITS[1:]), F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
+    words = [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in sketch_words(longs)]
+    apart = sum(words[1:], words[0])
     return (F.least(n(a), n(b)) * den >= F.greatest(n(a), n(b)) * num) & (apart * (den + num) <= (n(a) + n(b)) * (den - num))
 
 
@@ -222,15 +228,21 @@ def classes(
     den: int = 100,
     id_col: str = "doc_id",
     text_col: str = "text",
+    rounds: int = 1,
+    longs: int = 4,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, and component_id, the smallest
-    id that is reachable over links of a Jaccard similarity >= num/den."""
+    id that is reachable over links of a Jaccard similarity >= num/den.
+
+    ``rounds`` and ``longs`` never change the result: in how many rounds nodes
+    are checked against one other before all pairs that are left, and how many
+    64-bit words the sketch has that pairs are compared by within the join."""
     spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
-    whole = stored(_sketches(docs, k, num, den), "join-sketches")
+    whole = stored(_sketches(docs, k, num, den, longs), "join-sketches")
 
     # one node per distinct set, named by its smallest id
-    row = F.struct("doc_id", "n", *BITS, "fine", "keys")
+    row = F.struct("doc_id", "n", *sketch_words(longs), "fine", "keys")
     named_sets = whole.where("n > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min_by(row, "doc_id").alias("x"))
     nodes = stored(named_sets.select("set_a", "set_b", "x.*"), "join-nodes")
     sketches = stored(whole.select("doc_id", "n", "set_a", "set_b"), "join-sets-of")
@@ -243,13 +255,18 @@ def classes(
     shared = stored(offers.join(hubs, "key"), "join-shared")
     offering, nodes = nodes, stored(nodes.drop("keys"), "join-nodes")
     drop_scratch(spark, offering)
-    info = nodes.select(F.col("doc_id").alias("id"), "n", *BITS)
+    info = nodes.select(F.col("doc_id").alias("id"), "n", *sketch_words(longs))
 
     # a node against the hub it shares most keys with
-    votes = shared.where("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys"))
-    first = votes.groupBy("id").agg(F.max_by("hub", F.struct("keys", -F.col("hub"))).alias("hub"))
-    tried = first.alias("p").join(info.alias("a"), F.expr("p.hub = a.id")).join(info.alias("b"), F.expr("p.id = b.id"))
-    tried = stored(tried.where(_may_link("a", "b", num, den)).select(F.col("p.hub").alias("a"), F.col("p.id").alias("b")).distinct(), "join-first")
+    def against_hubs(met: DataFrame) -> DataFrame:
+        """Pairs (a, b) of each node and the hub it meets (id, hub) at most keys."""
+        votes = met.groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys"))
+        first = votes.groupBy("id").agg(F.max_by("hub", F.struct("keys", -F.col("hub"))).alias("hub"))
+        both = first.alias("p").join(info.alias("a"), F.expr("p.hub = a.id")).join(info.alias("b"), F.expr("p.id = b.id"))
+        pair = both.where(_may_link("a", "b", num, den, longs)).select(F.least("p.hub", "p.id").alias("a"), F.greatest("p.hub", "p.id").alias("b"))
+        return stored(pair.distinct(), "join-first")
+
+    tried = against_hubs(shared.where("id <> hub"))
     links = _verified(docs, nodes, tried, k, num, den)
     # an id of several sets holds them together
     sets = linked.groupBy("doc_id").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("set_a", "set_b")))
@@ -258,21 +275,45 @@ def classes(
     held = held.join(nodes.select("set_a", "set_b", F.col("doc_id").alias("v")), ["set_a", "set_b"]).select("u", "v")
     label = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(held))
 
+    name = lambda side: label.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
+
+    def merged(found: DataFrame) -> DataFrame:
+        """Components of the labels that the links ``found`` (a, b) join."""
+        joined = found.join(name("a"), "a", "left").join(name("b"), "b", "left")
+        return components(joined.select(F.coalesce("la", "a").alias("u"), F.coalesce("lb", "b").alias("v")))
+
+    def at_mixed_keys() -> tuple[DataFrame, DataFrame]:
+        """(key, id, label) of all nodes, and keys with several labels, the least of them as ``main``."""
+        named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+        named = stored(named, "join-named")
+        mixed = named.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("other")).where("main < other").select("key", "main")
+        return named, stored(mixed, "join-mixed")
+
+    # again, each node of another component against one of a key's main component
+    for turn in range(1, rounds):
+        named, mixed = at_mixed_keys()
+        at = named.join(mixed, "key")
+        hub = at.where("label = main").groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("hub"))
+        again = against_hubs(at.where("label <> main").join(hub, "key").select("id", "hub"))
+        more = _verified(docs, nodes, again.join(tried, ["a", "b"], "left_anti"), k, num, den)
+        top = merged(more).select(F.col("node").alias("l"), F.col("label").alias("top"))
+        every = info.select("id").join(label.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("label", "id").alias("l"))
+        after = every.join(top, "l", "left").select(F.col("id").alias("node"), F.coalesce("top", "l").alias("label")).where("node <> label")
+        after, both = stored(after, "join-label"), stored(tried.unionByName(again), "join-first")
+        drop_scratch(spark, named, mixed, again, more, label, tried)
+        label, tried = after, both
+
     # every other pair that shares a key and is not yet in one component
-    named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    named = stored(named, "join-named")
-    mixed = stored(named.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("other")).where("main < other").select("key", "main"), "join-mixed")
+    named, mixed = at_mixed_keys()
     members = stored(named.join(mixed, "key").join(info, "id").distinct(), "join-members")
     other = members.where("label <> main").alias("a").join(
         members.alias("b"),
-        F.expr("a.key = b.key and a.label <> b.label and (b.label = b.main or a.id < b.id)") & _may_link("a", "b", num, den),
+        F.expr("a.key = b.key and a.label <> b.label and (b.label = b.main or a.id < b.id)") & _may_link("a", "b", num, den, longs),
     )
     rest = other.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
     rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "join-rest")
     more = _verified(docs, nodes, rest, k, num, den)
-    name = lambda side: label.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
-    joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left")
-    second = components(joined.select(F.coalesce("la", "a").alias("u"), F.coalesce("lb", "b").alias("v")))
+    second = merged(more)
 
     final = nodes.select("set_a", "set_b", F.col("doc_id").alias("id")).join(label.withColumnRenamed("node", "id"), "id", "left")
     final = final.select("set_a", "set_b", F.coalesce("label", "id").alias("node")).join(second.withColumnRenamed("label", "top"), "node", "left")
