@@ -143,3 +143,14 @@ def test_unrelated_texts_of_one_id_stay(spark):
     out = pairs(corpus_pipeline.near_duplicates(spark, frame, SF))
     assert Counter((i, t) for i, t in out if i != 6) == Counter([(3, one), (3, two), (2, three), (None, one), (None, one)])
     assert len([t for i, t in out if i == 6 and not (t or "").strip()]) == 1
+
+
+def test_decontamination_judges_rows_not_ids(spark):
+    """Of two rows of one id the clean one stays; a row without an id can go."""
+    item = table(spark, SF, "benchmark").where("length(text) > 100").first()["text"]
+    clean = "This text has nothing to do with any test, it tells of rivers and stones and of a bridge."
+    rows = [(5, f"Before it. {item} And after."), (5, clean), (None, item), (None, clean), (7, clean), (7, clean)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.decontaminate(spark, frame, SF)
+    assert Counter(pairs(left)) == Counter([(5, clean), (None, clean), (7, clean), (7, clean)])
+    assert left.columns == frame.columns
