@@ -103,12 +103,8 @@ class Numbers(dict):
         return n
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Cut the batches of a partition into pieces of at most ``rows`` rows; in
-    the end give the worker's unused memory back, as workers outlive tasks."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+def give_back() -> None:
+    """Give the worker's unused memory back, as workers outlive tasks."""
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -116,6 +112,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             trim(0)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Cut the batches of a partition into pieces of at most ``rows`` rows; in
+    the end give unused memory back."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    give_back()
+
+
 def drop_scratch(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete scratch tables that no later step reads (made by ``stored``)."""
     root = checkpoint_dir(spark)
