@@ -37,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     go, or that a copy is of, are shuffled; all others stay where they are read."""
     words = F.when(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.col("text"))  # texts without words are equal
     nodes = docs.withColumn("__node", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", words)))
-    found = jaccard_join.classes(nodes, k=5, num=80, den=100, id_col="__node", rounds=3, longs=16).where("doc_id is not null")
+    found = jaccard_join.classes(nodes, k=5, num=80, den=100, id_col="__node", rounds=2, longs=16).where("doc_id is not null")
     rows = found.groupBy(F.col("doc_id").alias("__node")).agg(F.count(F.lit(1)).alias("__rows"), F.min("component_id").alias("__component"))
     copies = stored(rows.where("__rows > 1 or __node <> __component").select("__node", "__component"), "pipeline-copies")
     group = copies.unionByName(copies.select(F.col("__component").alias("__node"), "__component")).distinct()
