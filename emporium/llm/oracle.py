@@ -75,47 +75,68 @@ def _found(pattern: str, columns: str) -> str:
 
 
 def _secrets() -> str:
-    n = f"{secrets.CHANGE}::DOUBLE", f"{1 - secrets.CHANGE}::DOUBLE"
+    # An identifier's letters: four fifths as in English, one fifth evenly spread; a class stays
+    # with 0.85 in hex and base32, and in base64 by the row of the class before (digit, lower,
+    # upper, sign); a vowel follows a consonant with 0.5 and a vowel with 0.2.
+    letters = "ETAOINSHRDLCUMWFGYPBVKJXQZ"
+    english = "[1270, 906, 817, 751, 697, 675, 633, 609, 599, 425, 403, 278, 276, 241, 236, 223, 202, 197, 193, 149, 98, 77, 15, 15, 10, 7]"
+    mixed = "[[0.7, 0.1, 0.1, 0.1], [0.05, 0.85, 0.05, 0.05], [0.05, 0.2, 0.7, 0.05], [0.15, 0.4, 0.4, 0.05]]"
+    share = f"(0.8::DOUBLE * {english}[k] / list_sum({english}) + 0.2::DOUBLE / 26)"
+    uniform = "(CASE WHEN size = 16 THEN CASE k WHEN 0 THEN 10 ELSE 6 END WHEN size = 32 THEN CASE k WHEN 0 THEN 6 ELSE 26 END ELSE CASE k WHEN 0 THEN 10 WHEN 3 THEN 2 ELSE 26 END END / size::DOUBLE)"
+    follows = f"(CASE WHEN size = 64 THEN {mixed}[j + 1][k + 1] WHEN j = k THEN 0.85 ELSE 0.05 END)::DOUBLE"
+    vowel = f"(SELECT sum({share}) FROM range(1, 27) AS v(k) WHERE '{letters}'[k] IN ('A', 'E', 'I', 'O', 'U'))"
+    after = "CASE WHEN before THEN 0.2::DOUBLE ELSE 0.5::DOUBLE END"
     base = [
         _found(ASSIGN, "CAST(pos AS INT) AS a, 0 AS kind, CAST(pos + length(hit) AS INT) AS b, length(part) >= 8 AS ok"),
         _found(f"({secrets.ACCESS})", "CAST(pos AS INT), 1, CAST(pos + length(hit) AS INT), TRUE"),
         _found(f"({secrets.HEX})", "CAST(pos AS INT), 2, CAST(pos + length(hit) AS INT), TRUE"),
     ]
-    alphabet = " ".join(f"WHEN {a} THEN '{letters}'" for a, letters in secrets.ALPHABETS.items())
+    alphabet = f"WHEN 16 THEN '0123456789abcdef' WHEN 32 THEN '{UPPER}234567' WHEN 64 THEN '{UPPER}{LOWER}0123456789+/'"
     names = "['assign', 'access', 'hex', 'random']"
     return f"""
     WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     base AS (SELECT doc_id, a, kind, b FROM ({' UNION ALL '.join(base)}) AS x WHERE ok),
     runs AS ({_found('([A-Za-z0-9+/_=-]{20,})', "CAST(pos AS INT) AS a, CAST(pos + length(hit) AS INT) AS b, rtrim(hit, '=') AS body")}),
     coded AS (
-        SELECT *, length(body) AS n, CASE WHEN regexp_full_match(body, '[0-9]*') OR regexp_full_match(body, '[^0-9]*') OR length(body) < 8 THEN 0
+        SELECT *, length(body) AS n, CASE WHEN length(body) < 8 THEN 0
             WHEN regexp_full_match(body, '[0-9a-f]+|[0-9A-F]+') THEN 16 WHEN regexp_full_match(body, '[A-Z2-7]+') THEN 32 ELSE 64 END AS size
         FROM runs
+    ), weights AS (
+        SELECT (SELECT list(CAST(round(1000 * ln(1 / 26.0::DOUBLE / {share})) AS BIGINT) ORDER BY k) FROM range(1, 27) AS l(k)) AS letter_weights,
+            (SELECT list(CAST(round(1000 * ln(if(own, {vowel}, 1 - {vowel}) / if(own, {after}, 1 - {after}))) AS BIGINT) ORDER BY before, own)
+                FROM (VALUES (FALSE, FALSE), (FALSE, TRUE), (TRUE, FALSE), (TRUE, TRUE)) AS t(before, own)) AS tone_weights
+    ), steps AS (
+        SELECT size, list(CAST(round(1000 * ln({uniform} / {follows})) AS BIGINT) ORDER BY j, k) AS step_weights
+        FROM (VALUES (16), (32), (64)) AS s(size), range(0, 4) AS b(j), range(0, 4) AS o(k) GROUP BY size
     ), listed AS (
         SELECT *, list_transform(string_split(if(size = 16, lower(body), translate(body, '-_', '+/')), ''), lambda c: instr(CASE size {alphabet} END, c) - 1) AS place,
-            list_transform(string_split(body, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN 0 WHEN c BETWEEN 'a' AND 'z' THEN 1 WHEN c BETWEEN 'A' AND 'Z' THEN 2 ELSE 3 END) AS class
-        FROM coded WHERE size > 0
+            list_transform(string_split(upper(body), ''), lambda c: instr('{letters}', c)) AS letter,
+            list_transform(string_split(body, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN 0 WHEN c BETWEEN 'a' AND 'z' THEN 1 WHEN c BETWEEN 'A' AND 'Z' THEN 2 ELSE 3 END) AS class,
+            list_transform(string_split(upper(body), ''), lambda c: if(c IN ('A', 'E', 'I', 'O', 'U'), 1, 0)) AS vowel
+        FROM coded JOIN steps USING (size), weights
     ), summed AS (
         SELECT *, list_sum(list_transform(range(0, size), lambda k: len(list_filter(place, lambda x: x = k)) ** 2)) AS squares,
             1 + len(list_filter(range(2, n + 1), lambda i: (2 * place[i] >= size) <> (2 * place[i - 1] >= size))) AS r,
-            len(list_filter(range(2, n + 1), lambda i: class[i] <> class[i - 1])) / (n - 1)::DOUBLE AS rate,
             list_sum(list_transform(place, lambda x: (x - (size - 1) / 2.0::DOUBLE) ** 2)) AS spread,
-            list_sum(list_transform(range(2, n + 1), lambda i: (place[i] - (size - 1) / 2.0::DOUBLE) * (place[i - 1] - (size - 1) / 2.0::DOUBLE))) AS along
+            list_sum(list_transform(range(2, n + 1), lambda i: (place[i] - (size - 1) / 2.0::DOUBLE) * (place[i - 1] - (size - 1) / 2.0::DOUBLE))) AS along,
+            list_sum(list_transform(letter, lambda k: if(k > 0, letter_weights[greatest(k, 1)] + if(size = 16, CAST(round(1000 * ln(26 / 6.0::DOUBLE)) AS BIGINT), 0), if(size = 32, CAST(round(1000 * ln(10 / 6.0::DOUBLE)) AS BIGINT), 0))))
+                + list_sum(list_transform(range(2, n + 1), lambda i: step_weights[4 * class[i - 1] + class[i] + 1]))
+                + list_sum(list_transform(range(2, n + 1), lambda i: if(class[i] = class[i - 1] AND class[i] IN (1, 2), tone_weights[2 * vowel[i - 1] + vowel[i] + 1], 0))) AS ratio
         FROM listed
     ), tested AS (
-        SELECT doc_id, a, b, CAST(floor(log2(n)) AS INT) AS band,
-            (size::DOUBLE / n * squares - n - (size - 1)) / sqrt(2.0::DOUBLE * (size - 1) * (n - 1) / n) <= {secrets.BEYOND}
-                AND abs((r - 1 - (n - 1) / 2.0::DOUBLE) / (sqrt(n - 1) / 2.0::DOUBLE)) <= {secrets.BEYOND} AND abs(along / spread * sqrt(n)) <= {secrets.BEYOND} AS uniform,
-            if(rate <= {n[0]}, 0, CAST(least({secrets.BINS}, floor(10 * (n - 1) * (rate * ln(greatest(rate, 1e-9) / {n[0]}) + (1 - rate) * ln(greatest(1 - rate, 1e-9) / {n[1]})) / ln(10))) AS INT)) AS bin
+        SELECT doc_id, a, b, size, CAST(floor(log2(n)) AS INT) AS band,
+            if((size::DOUBLE / n * squares - n - (size - 1)) / sqrt(2.0::DOUBLE * (size - 1) * (n - 1) / n) <= 3.3
+                AND abs((r - 1 - (n - 1) / 2.0::DOUBLE) / (sqrt(n - 1) / 2.0::DOUBLE)) <= 3.3 AND abs(along / spread * sqrt(n)) <= 3.3,
+                CAST(least(600, greatest(0, floor((ratio - round(1000 * ln(3))) / (100 * ln(10))))) AS INT), 0) AS bin
         FROM summed
     ), passed AS (
-        SELECT band, min(bin) AS least_bin FROM (
-            SELECT band, bin, sum(count(*)) OVER (PARTITION BY band ORDER BY bin DESC) AS above, sum(count(*)) OVER (PARTITION BY band) AS total FROM tested GROUP BY band, bin
-        ) AS bins WHERE 10.0::DOUBLE ** (-bin / 10.0::DOUBLE) <= {secrets.FDR} * above / total GROUP BY band
+        SELECT size, band, min(bin) AS least_bin FROM (
+            SELECT size, band, bin, sum(count(*)) OVER (PARTITION BY size, band ORDER BY bin DESC) AS above, sum(count(*)) OVER (PARTITION BY size, band) AS total FROM tested GROUP BY size, band, bin
+        ) AS bins WHERE 10.0::DOUBLE ** (-bin / 10.0::DOUBLE) <= 0.01 * above / total GROUP BY size, band
     ), spans AS (
         SELECT * FROM base
-        UNION ALL SELECT doc_id, a, 3, b FROM tested JOIN passed USING (band)
-        WHERE uniform AND bin >= least_bin AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = tested.doc_id AND base.a < tested.b AND tested.a < base.b)
+        UNION ALL SELECT doc_id, a, 3, b FROM tested JOIN passed USING (size, band)
+        WHERE bin >= least_bin AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = tested.doc_id AND base.a < tested.b AND tested.a < base.b)
     ), said AS (SELECT *, {names}[kind + 1] || ':' || a || ':' || b AS span FROM spans)
     SELECT t.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
         count(*) FILTER (WHERE kind = 3) AS n_random,
