@@ -60,6 +60,36 @@ def test_index_guarantees_the_radius():
         Benchmark([], 5, 24, 0.8)
 
 
+def test_repeated_items_are_one(spark):
+    rows = spark.createDataFrame([(i, f"before it one two three four five six seven eight number {i % 2} after") for i in range(6)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n % 3, f"one two three four five six seven eight number {n % 3}") for n in range(30)], "item_id long, text string")
+    marks = Benchmark([(n, f"one two three four five six seven eight number {n}".encode()) for n in range(3)], 5, 20, 0.8)
+    for size in (1, 20_000):
+        got = decontam.contaminated(rows, bench, slice_items=size).collect()
+        want = {(r["doc_id"], m[0]): m[1] for r in rows.collect() for m in marks.matches(r["text"].encode())}
+        assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in got} == want and len(got) == len(want) >= 6
+
+
+def test_recall_of_edited_items_against_all_windows():
+    """Items edited to a similarity between 0.8 and 1, among others, against every window."""
+    rng = random.Random(8)
+    items = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(25, 120)))) for i in range(400)]
+    marks = Benchmark(items_of(items), 5, 20, 0.8)
+    found = wanted = met = looked = 0
+    for i, text in items[:200]:
+        words = text.split()
+        for at in rng.sample(range(len(words)), max(1, len(words) // 60)):
+            words[at] = "edited"
+        whole = " ".join([f"w{rng.randrange(5000)}" for _ in range(30)] + words + [f"w{rng.randrange(5000)}" for _ in range(30)])
+        want = marks.similarity(Counter(shingles_of([w.encode() for w in words], 5)), i) >= 0.8
+        wanted += want
+        found += want and i in {m[0] for m in marks.matches(whole.encode())}
+        for start, length, size in marks.windows(words_of(whole.encode())):
+            met, looked = met + len(marks.near(decontam.simhash(Counter(shingles_of(words_of(whole.encode())[start : start + length], 5))), size)), looked + 1
+    assert wanted >= 80 and found >= 0.99 * wanted
+    assert met <= 0.05 * len(items) * looked
+
+
 def test_edge_cases_and_slices(spark):
     rows = docs(spark)
     bench = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, pairs(rows)[5][1], 0), (4, "nothing like this anywhere in the texts at all", 0), (4, "row without an id but with some text", 0)], "item_id long, text string, doc_id int")
@@ -68,6 +98,8 @@ def test_edge_cases_and_slices(spark):
     for size in (20_000, 2):
         got = decontam.contaminated(rows, bench, slice_items=size).collect()
         assert {(r["doc_id"], r["item_id"]) for r in got} == set(want)
+    found = [sorted((tuple(r) for r in decontam.contaminated(rows, bench, slice_items=size).collect()), key=repr) for size in (20_000, 2)]
+    assert found[0] == found[1] and found[0]  # similarities included
     assert decontam.contaminated(empty(spark), bench).count() == 0
     assert decontam.contaminated(rows, bench.limit(0)).count() == 0
 
