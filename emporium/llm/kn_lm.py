@@ -2,9 +2,13 @@
 
 Counting.  Each task counts the word pairs of its texts and sends them, grouped
 by the hash of the first word, to shards; a shard adds up what all tasks sent.
-Partial counts make a frequent pair one entry per task, so no shard grows with
-the frequency of a word.  The number of shards grows with the text
-(``SHARD_BYTES`` of text each), their size does not.
+Partial counts make a frequent pair one entry per flush of a task.  The number of
+shards grows with the text (``SHARD_BYTES`` of text each), their size does not:
+a first pass over all texts finds the hot contexts, words that hold more than a
+shard's share of the tokens, and their pairs go to shards by the hash of the
+pair.  So every other context is smaller than a mean shard, and a hot one is
+spread over all of them; there are at most a few hot contexts a shard.  Which
+contexts are hot decides only where counts lie, never a score.
 
 Storage.  A shard is a set of sorted arrays in the shared folder: pair hashes
 with counts, context hashes with their totals and numbers of followers seen
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -47,6 +52,8 @@ START, END = 0, 1
 RESERVED = mix(np.array([1, 2], np.uint64))  # hashes of the start and of the end
 SHARD_BYTES = 24 << 20
 FLUSH = 3_000_000  # tokens whose pairs are counted at once
+OPEN = 4096  # arrays that a task keeps mapped
+VOCABULARY = 2_000_000  # words that a task remembers; beyond it starts anew
 CHUNKS = "kind int, shard int, contexts binary, runs binary, words binary, counts binary"
 CHUNK_NAMES = ["kind", "shard", "contexts", "runs", "words", "counts"]
 
@@ -94,20 +101,63 @@ def shard_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
 
 
+def pair_shards(contexts: np.ndarray, pairs: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
+    """Shards of pairs: by the context, or by the pair if the context is hot."""
+    return np.where(np.isin(contexts, hot), shard_of(pairs, bits), shard_of(contexts, bits))
+
+
+def hot_contexts(texts: DataFrame, bits: int) -> np.ndarray:
+    """Hashes of all contexts that hold more than one of ``1 << bits`` shares of
+    the tokens, and of some that hold three quarters of that.
+
+    A task reports, for every ``FLUSH`` of its tokens, the words that hold a
+    quarter of such a share there, so at most ``4 << bits`` words.  Of a hot word
+    less than a quarter of a share goes unreported."""
+    if not bits:
+        return np.zeros(0, np.uint64)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, starts, n = Counter(), 0, 0
+
+        def report() -> pa.RecordBatch:
+            often = [(xxhash.xxh3_64_intdigest(w), c) for w, c in seen.items() if c * (4 << bits) >= n]
+            keys = np.array([int(RESERVED[0]), *(k for k, _ in often)], np.uint64).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([None, *keys.tolist()], pa.int64()), pa.array([n, starts, *(c for _, c in often)], pa.int64())], names=["key", "n"]
+            )
+
+        for batch in slices(batches, 1000):
+            for text in batch_rows(batch, "text")[0]:
+                words = text.lower().split()
+                seen.update(words)
+                starts, n = starts + 1, n + len(words) + 1
+            if n >= FLUSH:
+                yield report()
+                seen, starts, n = Counter(), 0, 0
+        if n:
+            yield report()
+
+    counts = stored(texts.mapInArrow(tally, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "kn-hot")
+    total = counts.where("key is null").first()
+    found = counts.where("key is not null").where(F.col("n") * (4 << bits) >= 3 * total["n"]).collect() if total else []
+    drop_scratch(texts.sparkSession, counts)
+    return np.sort(np.array([r["key"] for r in found], np.int64).astype(np.uint64))
+
+
 def chunk(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[]] * 6
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 4
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=CHUNK_NAMES)
 
 
-def _pair_chunks(words: Words, texts: list[np.ndarray], bits: int) -> list[tuple]:
+def _pair_chunks(words: Words, texts: list[np.ndarray], hot: np.ndarray, bits: int) -> list[tuple]:
     before, after = pairs_of(texts)
     hashes = words.hashed()
     codes = np.sort(before * len(hashes) + after)
     first = runs_of(codes)
     counts = np.diff(np.append(first, len(codes))).astype(np.uint32)
     contexts, followers = np.divmod(codes[first], len(hashes))
-    shards = shard_of(hashes[contexts], bits)
+    shards = pair_shards(hashes[contexts], pair_hash(hashes[contexts], hashes[followers]), hot, bits)
     order = np.argsort(shards, kind="stable")
     edges = np.searchsorted(shards[order], np.arange((1 << bits) + 1))
     rows = []
@@ -174,9 +224,10 @@ class KneserNey:
     pair_discounts: tuple[float, float, float]
     word_discounts: tuple[float, float, float]
     rest: float  # share of the uniform distribution in p(w)
+    hot: np.ndarray  # sorted hashes of the contexts whose pairs lie in all shards
 
 
-def train(docs: DataFrame, path: str, text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> KneserNey:
+def train(docs: DataFrame, path: str, text_col: str = "text", shard_bytes: int = SHARD_BYTES, flush_tokens: int = FLUSH, vocabulary: int = VOCABULARY) -> KneserNey:
     """Count ``docs`` and write the model's arrays below ``path``, a folder
     that all machines share."""
     place = urlparse(path)
@@ -186,6 +237,7 @@ def train(docs: DataFrame, path: str, text_col: str = "text", shard_bytes: int =
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, (max(1, size) // shard_bytes).bit_length())
+    hot = hot_contexts(texts, bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, held, n = Words(), [], 0
@@ -196,19 +248,25 @@ def train(docs: DataFrame, path: str, text_col: str = "text", shard_bytes: int =
             own = np.bincount(np.concatenate(held), minlength=len(words.number))
             own[: len(totals)] += totals
             totals = own
-            return chunk(_pair_chunks(words, held, bits))
+            return chunk(_pair_chunks(words, held, hot, bits))
+
+        def word_counts() -> pa.RecordBatch:
+            seen = np.flatnonzero(totals)
+            return chunk(_word_chunks(words.hashed()[seen], totals[seen], bits, 1))
 
         for batch in slices(batches, 1000):
             for text in batch_rows(batch, "text")[0]:
                 held.append(words.tokens(text))
                 n += len(held[-1])
-            if n >= FLUSH:
+            if n >= flush_tokens:
                 yield flush()
                 held, n = [], 0
+                if len(words.number) > vocabulary:
+                    yield word_counts()
+                    words, totals = Words(), np.zeros(0, np.int64)
         if held:
             yield flush()
-        seen = np.flatnonzero(totals)
-        yield chunk(_word_chunks(words.hashed()[seen], totals[seen], bits, 1))
+        yield word_counts()
 
     def merge_pairs(table: pa.Table) -> pa.Table:
         kind, shard = table.column("kind")[0].as_py(), table.column("shard")[0].as_py()
@@ -226,11 +284,13 @@ def train(docs: DataFrame, path: str, text_col: str = "text", shard_bytes: int =
         _save(folder, f"pairs-{shard}", hashes[order][first])
         _save(folder, f"pair-counts-{shard}", np.minimum(counts, 2**32 - 1).astype(np.uint32))
         keys, *numbers = _summed(contexts, counts, *((counts == i).astype(np.uint64) for i in (1, 2)), (counts > 2).astype(np.uint64))
-        _save(folder, f"contexts-{shard}", keys)
-        _save(folder, f"context-numbers-{shard}", np.stack(numbers, axis=1))
+        numbers, spread = np.stack(numbers, axis=1), np.isin(keys, hot)
+        _save(folder, f"contexts-{shard}", keys[~spread])
+        _save(folder, f"context-numbers-{shard}", numbers[~spread])
+        parts = [(5, int(s), None, None, h.tobytes(), x.tobytes()) for s, h, x in zip(shard_of(keys[spread], bits), keys[spread], numbers[spread], strict=True)]
         followers, before = _summed(words, np.ones(len(words), np.uint64))
         stats = np.array([*counts_of_counts(counts), len(counts)], np.uint64)
-        return pa.Table.from_batches([chunk([*_word_chunks(followers, before, bits, 2), (3, shard, None, None, None, stats.tobytes())])])
+        return pa.Table.from_batches([chunk([*_word_chunks(followers, before, bits, 2), *parts, (3, shard, None, None, None, stats.tobytes())])])
 
     def merge_words(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -248,16 +308,25 @@ def train(docs: DataFrame, path: str, text_col: str = "text", shard_bytes: int =
         stats = np.array([*counts_of_counts(before), (before > 2).sum(), before.sum(), raw.sum(), len(found)], np.uint64)
         return pa.Table.from_batches([chunk([(4, shard, None, None, None, stats.tobytes())])])
 
+    def merge_hot(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        numbers = _joined(table.column("counts"), np.uint64).reshape(-1, 4)
+        keys, *sums = _summed(_joined(table.column("words"), np.uint64), *numbers.T)
+        _save(folder, f"hot-contexts-{shard}", keys)
+        _save(folder, f"hot-context-numbers-{shard}", np.stack(sums, axis=1))
+        return pa.Table.from_batches([chunk([])])
+
     first = stored(texts.mapInArrow(count, CHUNKS).groupBy("kind", "shard").applyInArrow(merge_pairs, CHUNKS), "kn-words")
     pairs = [np.frombuffer(r["counts"], np.uint64) for r in first.where("kind = 3").select("counts").collect()]
     second = first.where("kind < 3").groupBy("shard").applyInArrow(merge_words, CHUNKS)
     words = [np.frombuffer(r["counts"], np.uint64) for r in second.select("counts").collect()]
+    first.where("kind = 5").groupBy("kind", "shard").applyInArrow(merge_hot, CHUNKS).write.format("noop").mode("overwrite").save()
     drop_scratch(docs.sparkSession, first)
     p = [int(x) for x in sum(pairs)] if pairs else [0] * 5
     w = [int(x) for x in sum(words)] if words else [0] * 8
     d = discounts(w[:4])
     rest = (d[0] * w[0] + d[1] * w[1] + d[2] * w[4]) / w[5] if w[5] else 1.0
-    return KneserNey(folder, bits, w[6], w[7], w[5], discounts(p[:4]), d, rest)
+    return KneserNey(folder, bits, w[6], w[7], w[5], discounts(p[:4]), d, rest, hot)
 
 
 class Arrays:
@@ -265,7 +334,7 @@ class Arrays:
 
     def __init__(self, model: KneserNey):
         self.model = model
-        self.open = lru_cache(maxsize=None)(self._open)
+        self.open = lru_cache(maxsize=OPEN)(self._open)
 
     def _open(self, name: str, shard: int) -> np.ndarray | None:
         path = f"{self.model.folder}/{name}-{shard}.npy"
@@ -274,10 +343,13 @@ class Arrays:
     def numbers(self, keys: str, numbers: str, shards: np.ndarray, hashes: np.ndarray, width: int) -> np.ndarray:
         """Rows of ``numbers`` at the hashes, zeros for hashes that are not there."""
         out = np.zeros((len(hashes), width), np.float64)
+        if not len(hashes):
+            return out
         order = np.argsort(shards.astype(np.uint16) if self.model.bits <= 16 else shards, kind="stable")
-        edges = np.searchsorted(shards[order], np.arange((1 << self.model.bits) + 1))
-        for s, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            known = self.open(keys, s) if a < b else None
+        starts = runs_of(shards[order])
+        for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
+            s = int(shards[order[a]])
+            known = self.open(keys, s)
             if known is not None and len(known):
                 own = order[a:b]
                 own = own[np.argsort(hashes[own])]  # in order, so that a search finds its pages in memory
@@ -295,7 +367,7 @@ def discounted(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def score(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
     """Per document: tokens, tokens seen in training, the add-one unigram score
     and the model's log10 probability of the text.  No shuffle."""
 
@@ -305,14 +377,18 @@ def score(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col: s
         follow = np.zeros((0, 4))  # total, followers seen once, twice, more, by word number
         for batch in slices(batches, 1000):
             ids, texts = batch_rows(batch, "doc_id", "text")
+            if len(words.number) > vocabulary:
+                words, known, follow = Words(), known[:0], follow[:0]
             tokens = [words.tokens(t) for t in texts]
             hashes = words.hashed()
             new = hashes[len(known) :]
             known = np.concatenate((known, arrays.numbers("words", "word-numbers", shard_of(new, bits), new, 2)))
-            follow = np.concatenate((follow, arrays.numbers("contexts", "context-numbers", shard_of(new, bits), new, 4)))
+            own = arrays.numbers("contexts", "context-numbers", shard_of(new, bits), new, 4)
+            own += arrays.numbers("hot-contexts", "hot-context-numbers", shard_of(new, bits), new, 4)
+            follow = np.concatenate((follow, own))
             before, after = pairs_of(tokens)
             pairs = pair_hash(hashes[before], hashes[after])
-            count = arrays.numbers("pairs", "pair-counts", shard_of(hashes[before], bits), pairs, 1)[:, 0]
+            count = arrays.numbers("pairs", "pair-counts", pair_shards(hashes[before], pairs, model.hot, bits), pairs, 1)[:, 0]
             uniform = 1.0 / (model.types + 1)
             own = known[:, 1]
             single = discounted(own, model.word_discounts) / max(1, model.predecessors) + model.rest * uniform

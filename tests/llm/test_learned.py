@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from edge_cases import docs, empty, pairs
 
 from emporium.llm import html_model, kn_lm, quality, queries
@@ -129,23 +130,39 @@ def tokens(text):
     return [*(text or "").encode().lower().split(), "</s>"]
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 30, 200])
-def test_language_model_on_edge_cases(spark, shard_bytes):
+@pytest.mark.parametrize("options", [{"shard_bytes": 1 << 30}, {"shard_bytes": 200}, {"shard_bytes": 200, "flush_tokens": 20, "vocabulary": 9}])
+def test_language_model_on_edge_cases(spark, options):
     rows = pairs(docs(spark))
-    model = kn_lm.train(docs(spark), scratch(spark, "test-kn"), shard_bytes=shard_bytes)
+    model = kn_lm.train(docs(spark), scratch(spark, "test-kn"), **options)
     brute = Brute([tokens(t) for _, t in rows])
     assert (model.tokens, model.types) == (brute.n, brute.v)
     want = Counter()
     for i, t in rows:
         own = tokens(t)
         want[i, len(own), round(sum(math.log10(brute.p(v, w)) for v, w in zip(["<s>", *own[:-1]], own, strict=True)), 6)] += 1
-    got = kn_lm.score(docs(spark), model).collect()
+    got = kn_lm.score(docs(spark), model, vocabulary=options.get("vocabulary", 1 << 20)).collect()
     assert Counter((r["doc_id"], r["n_tokens"], round(r["score"], 6)) for r in got) == want
     assert kn_lm.score(empty(spark), model).count() == 0
     total = sum(brute.p("<s>", w) for w in brute.words) + brute.p("<s>", "never seen")
     assert total == pytest.approx(1.0)
 
 
+def test_language_model_spreads_hot_contexts(spark):
+    """A word before half of all others, with many followers, in shards of equal size."""
+    words = [f"w{i * i % 9973}" for i in range(12000)]
+    texts = [" ".join(f"{'hub' if j % 2 else v} {w}" for j, (v, w) in enumerate(zip(words[i : i + 60], words[i + 7 : i + 67], strict=False))) for i in range(0, 11900, 40)]
+    given = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    model = kn_lm.train(given, scratch(spark, "test-kn"), shard_bytes=8000)
+    held = kn_lm.Arrays(model)
+    sizes = [len(held.open("pairs", s)) for s in range(1 << model.bits)]
+    assert model.bits >= 4 and xxhash.xxh3_64_intdigest(b"hub") in model.hot.tolist() and len(model.hot) <= 2 << model.bits
+    assert max(sizes) <= 1.5 * sum(sizes) / len(sizes)
+    brute = Brute([tokens(t) for t in texts])
+    for row in kn_lm.score(given, model).collect():
+        own = tokens(texts[row["doc_id"]])
+        assert row["score"] == pytest.approx(sum(math.log10(brute.p(v, w)) for v, w in zip(["<s>", *own[:-1]], own, strict=True)))
+
+
 def test_language_model_of_nothing(spark):
     model = kn_lm.train(empty(spark), scratch(spark, "test-kn"))
     assert all(r["score"] == 0.0 and r["n_known"] == 0 for r in kn_lm.score(docs(spark), model).collect())
