@@ -3,8 +3,8 @@
 Counting.  Each task counts the word pairs of its texts and sends them, grouped
 by the hash of the first word, to shards; a shard adds up what all tasks sent.
 Partial counts make a frequent pair one entry per flush of a task.  The number of
-shards grows with the text (``SHARD_BYTES`` of text each), their size does not:
-a first pass over all texts finds the hot contexts, words that hold more than a
+shards grows with the text (``SHARD_BYTES`` of text each), their size does not,
+and a task merges one shard: a first pass over all texts finds the hot contexts, words that hold more than a
 shard's share of the tokens, and their pairs go to shards by the hash of the
 pair.  So every other context is smaller than a mean shard, and a hot one is
 spread over all of them; there are at most a few hot contexts a shard.  Which
@@ -316,11 +316,22 @@ def train(docs: DataFrame, path: str, text_col: str = "text", shard_bytes: int =
         _save(folder, f"hot-context-numbers-{shard}", np.stack(sums, axis=1))
         return pa.Table.from_batches([chunk([])])
 
-    first = stored(texts.mapInArrow(count, CHUNKS).groupBy("kind", "shard").applyInArrow(merge_pairs, CHUNKS), "kn-words")
+    # a partition is a shard: hashing its number would put several into one task
+    def of_shards(rows: DataFrame, *merges) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [b for b in batches if b.num_rows]
+            for kinds, merge in merges:
+                own = [b.filter(pa.array(np.isin(b.column("kind").to_numpy(), kinds))) for b in held]
+                own = [b for b in own if b.num_rows]
+                if own:
+                    yield from merge(pa.Table.from_batches(own)).to_batches()
+
+        return rows.repartitionById(1 << bits, F.col("shard")).mapInArrow(run, CHUNKS)
+
+    first = stored(of_shards(texts.mapInArrow(count, CHUNKS), ([1], merge_pairs), ([2], merge_pairs)), "kn-words")
     pairs = [np.frombuffer(r["counts"], np.uint64) for r in first.where("kind = 3").select("counts").collect()]
-    second = first.where("kind < 3").groupBy("shard").applyInArrow(merge_words, CHUNKS)
+    second = of_shards(first.where("kind <> 3"), ([1, 2], merge_words), ([5], merge_hot))
     words = [np.frombuffer(r["counts"], np.uint64) for r in second.select("counts").collect()]
-    first.where("kind = 5").groupBy("kind", "shard").applyInArrow(merge_hot, CHUNKS).write.format("noop").mode("overwrite").save()
     drop_scratch(docs.sparkSession, first)
     p = [int(x) for x in sum(pairs)] if pairs else [0] * 5
     w = [int(x) for x in sum(words)] if words else [0] * 8
