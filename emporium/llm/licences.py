@@ -3,7 +3,11 @@
 Templates are normalised (lower case, runs of letters and digits) and known by
 their sets of adjacent word pairs.  A document is looked at in units: each line,
 each paragraph of several lines, and the whole text if it has several
-paragraphs.  The Dice coefficient of unit and template is 2 |A n B| / (|A| + |B|)
+paragraphs; and, for every template, the passages of the whole text that share
+pairs with it.  A passage runs from one shared pair to another, over at most
+``gap`` pairs between neighbours that are not shared, and is as long as it can
+be; so a licence in paragraphs, in comments or inside a line of other words is
+one passage wherever it stands.  The Dice coefficient of unit and template is 2 |A n B| / (|A| + |B|)
 over the pairs.  It can reach ``threshold`` t only if |A| lies between
 t / (2 - t) |B| and (2 - t) / t |B|: units of other sizes are dropped by their
 word count before any pair is made, and of the rest each meets only the
@@ -12,7 +16,8 @@ templates of fitting size.  Whitespace, case and punctuation never matter.
 Defined results: a null or empty text has no units; units of fewer than two
 words have no pairs and match nothing; a unit that fits several templates gives
 a row for each; equal units of a document give a row each, repeated rows too;
-null ids stay null.
+null ids stay null.  A line that is a licence is a passage as well, and gives a
+row as each.
 """
 
 from __future__ import annotations
@@ -27,6 +32,22 @@ from pyspark.sql import functions as F
 from emporium.llm.common import id_and_text
 
 # Notices and texts of public licences.
+BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution."
+)
+BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -52,13 +73,26 @@ TEMPLATES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
-        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
-        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
-        "with the distribution."
+    "ISC full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, "
+        "OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION "
+        "OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE."
+    ),
+    "BSD-2-Clause full": f"{BSD_TERMS} {BSD_DISCLAIMER}",
+    "BSD-3-Clause full": (
+        f"{BSD_TERMS} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        f"promote products derived from this software without specific prior written permission. {BSD_DISCLAIMER}"
+    ),
+    "AGPL header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."
     ),
+    "BSD-2-Clause": BSD_TERMS,
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "GPL header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
@@ -81,6 +115,11 @@ TEMPLATES = {
 THRESHOLD = 0.8
 
 
+def gap(size: int) -> int:
+    """Pairs that a passage of a template of ``size`` pairs may skip at once."""
+    return 2 + size // 16
+
+
 def words_of(text: str) -> list[str]:
     return re.findall("[a-z0-9]+", text.lower())
 
@@ -90,12 +129,18 @@ def pairs_of(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
+def share_bounds(threshold: float) -> tuple[float, float]:
+    """Least and largest size of a matching unit as a share of the template's,
+    both widened a little so that rounding leaves no size on the bound out."""
+    return threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
+
+
 def _bounds(templates: dict[str, str], threshold: float) -> tuple[int, str]:
-    """Least number of words of a unit, and SQL for the sizes that can match."""
+    """Number of words that a unit must exceed, and SQL for the sizes that can match."""
     sizes = sorted({len(pairs_of(t)) for t in templates.values()})
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    low, high = share_bounds(threshold)
     fits = " or ".join(f"size(pairs) between {low * s} and {high * s}" for s in sizes)
-    return int(low * sizes[0]) + 1, fits
+    return math.ceil(low * sizes[0]), fits
 
 
 COMMON = {"under", "with", "this", "that", "from", "such", "other", "than", "your", "into"}
@@ -122,8 +167,9 @@ def licensed(
     text_col: str = "text",
 ) -> DataFrame:
     """One row per unit and licence that match: doc_id, unit ('line',
-    'paragraph' or 'text'), unit_no (from 0, of its kind), licence, n_pairs,
-    dice.  No shuffle; the templates are literals of the plan."""
+    'paragraph', 'text' or 'passage'), unit_no (from 0, of its kind; for a passage
+    the place of its first word among the words of the text), licence, n_pairs
+    (distinct ones), dice.  No shuffle; the templates are literals of the plan."""
     given = {k: v for k, v in (TEMPLATES if templates is None else templates).items() if pairs_of(v)}
     schema = "doc_id long, unit string, unit_no int, licence string, n_pairs int, dice double"
     if not given:
@@ -148,9 +194,40 @@ def licensed(
     pairs = "explode(array(array_distinct(transform(slice(words, 1, size(words) - 1), (w, i) -> concat(w, ' ', get(words, i + 1))))))"
     rows = rows.select("doc_id", "unit", "unit_no", F.expr(pairs).alias("pairs")).where(fits)
     rows = rows.where(f"arrays_overlap(pairs, array({', '.join(map(literal, every))}))")
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    low, high = share_bounds(threshold)
     met = f"""filter(transform(filter(array({known}), t -> size(pairs) between {low} * size(t.pairs) and {high} * size(t.pairs)),
         t -> named_struct('licence', t.licence, 'dice', 2D * size(array_intersect(pairs, t.pairs)) / (size(pairs) + size(t.pairs)))),
         x -> x.dice >= {threshold})"""
     found = rows.select("doc_id", "unit", "unit_no", F.size("pairs").alias("n_pairs"), F.explode(F.expr(met)).alias("m"))
-    return found.select("doc_id", "unit", "unit_no", "m.licence", "n_pairs", "m.dice")
+    found = found.select("doc_id", "unit", "unit_no", "m.licence", "n_pairs", "m.dice")
+    return found.unionByName(_passages(texts, given, threshold))
+
+
+def _passages(texts: DataFrame, given: dict[str, str], threshold: float) -> DataFrame:
+    literal = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    among = lambda pairs: f"in ({', '.join(map(literal, pairs))})"
+    every = sorted({p for v in given.values() for p in pairs_of(v)})
+    low = share_bounds(threshold)[0]
+    found, known = [], []
+    for licence, text in given.items():
+        own = pairs_of(text)
+        known.append(f"named_struct('licence', {literal(licence)}, 'pairs', array({', '.join(map(literal, own))}))")
+        apart = gap(len(own)) + 1
+        found.append(
+            f"""flatten(transform(array(transform(filter(shared, x -> x.pair {among(own)}), x -> x.at)), h -> filter(zip_with(
+                filter(h, (x, k) -> k = 0 or x - get(h, k - 1) > {apart}), filter(h, (x, k) -> k = size(h) - 1 or get(h, k + 1) - x > {apart}),
+                (a, b) -> named_struct('template', {len(known) - 1}, 'at', a, 'n', b - a + 1)), y -> y.n >= {low * len(own)})))"""
+        )
+    # explode(array(x)) keeps later columns from working x out again
+    words = texts.select("doc_id", F.expr("explode(array(filter(split(lower(text), '[^a-z0-9]+'), w -> w <> '')))").alias("words"))
+    pairs = "explode(array(transform(slice(words, 1, size(words) - 1), (w, i) -> concat(w, ' ', get(words, i + 1)))))"
+    rows = words.where("size(words) > 1").select("doc_id", F.expr(pairs).alias("pairs"))
+    shared = f"explode(array(filter(transform(pairs, (p, i) -> named_struct('at', i, 'pair', p)), x -> x.pair {among(every)})))"
+    rows = rows.select("doc_id", "pairs", F.expr(shared).alias("shared")).where("size(shared) > 0")
+    rows = rows.select("doc_id", "pairs", F.explode(F.expr(f"concat({', '.join(found)})")).alias("y"))
+    rows = rows.select(
+        "doc_id", F.col("y.at").alias("unit_no"), F.expr("array_distinct(slice(pairs, y.at + 1, y.n))").alias("own"), F.expr(f"get(array({', '.join(known)}), y.template)").alias("t")
+    )
+    dice = F.expr("2D * size(array_intersect(own, t.pairs)) / (size(own) + size(t.pairs))")
+    rows = rows.select("doc_id", F.lit("passage").alias("unit"), "unit_no", "t.licence", F.size("own").alias("n_pairs"), dice.alias("dice"))
+    return rows.where(F.col("dice") >= threshold)

@@ -33,7 +33,6 @@ def _text(value: str) -> str:
 
 
 def _licences() -> str:
-    low, high = licences.THRESHOLD / (2 - licences.THRESHOLD), (2 - licences.THRESHOLD) / licences.THRESHOLD
     known = ", ".join(f"({_text(k)}, [{', '.join(map(_text, licences.pairs_of(v)))}])" for k, v in licences.TEMPLATES.items())
     blank = "'\\n[ \\t\\r]*\\n'"
     return f"""
@@ -49,9 +48,23 @@ def _licences() -> str:
     pairs AS (SELECT doc_id, unit, unit_no, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM words WHERE len(w) > 1),
     scored AS (
         SELECT doc_id, unit, unit_no, licence, len(p) AS n_pairs, 2.0::DOUBLE * len(list_intersect(p, known)) / (len(p) + len(known)) AS dice
-        FROM pairs JOIN templates ON len(p) BETWEEN {low} * len(known) AND {high} * len(known)
+        FROM pairs JOIN templates ON 2.0::DOUBLE * least(len(p), len(known)) / (len(p) + len(known)) >= {licences.THRESHOLD}
+    ),
+    texts AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
+    places AS (SELECT r, i - 1 AS place, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM texts) AS x),
+    shared AS (SELECT r, place, licence, size FROM places JOIN (SELECT licence, len(known) AS size, unnest(known) AS pair FROM templates) AS k USING (pair)),
+    breaks AS (SELECT *, coalesce(place - lag(place) OVER (PARTITION BY r, licence ORDER BY place) - 1 > 2 + size // 16, TRUE) AS broken FROM shared),
+    numbered AS (SELECT *, count_if(broken) OVER (PARTITION BY r, licence ORDER BY place) AS passage FROM breaks),
+    spans AS (SELECT r, licence, min(place) AS a, max(place) AS b FROM numbered GROUP BY r, licence, passage),
+    passages AS (
+        SELECT doc_id, a, licence, known, list_distinct(list_transform(range(a + 1, b + 2), lambda i: w[i] || ' ' || w[i + 1])) AS p
+        FROM spans JOIN texts USING (r) JOIN templates USING (licence)
+    ),
+    every_unit AS (
+        SELECT * FROM scored
+        UNION ALL SELECT doc_id, 'passage', a, licence, len(p), 2.0::DOUBLE * len(list_intersect(p, known)) / (len(p) + len(known)) FROM passages
     )
-    SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, licence, CAST(n_pairs AS INTEGER) AS n_pairs, dice FROM scored WHERE dice >= {licences.THRESHOLD}
+    SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, licence, CAST(n_pairs AS INTEGER) AS n_pairs, dice FROM every_unit WHERE dice >= {licences.THRESHOLD}
     """
 
 

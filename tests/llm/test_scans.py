@@ -138,6 +138,19 @@ def brute_licences(rows, threshold=0.8):
             for name, other in known.items():
                 if own and 2 * len(own & other) / (len(own) + len(other)) >= threshold:
                     out.append((i, unit, n, name, len(own), 2 * len(own & other) / (len(own) + len(other))))
+        words = licences.words_of(text or "")
+        follow = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+        for name, other in known.items():
+            spans = []
+            for at in (k for k, p in enumerate(follow) if p in other):
+                if spans and at - spans[-1][1] - 1 <= 2 + len(other) // 16:
+                    spans[-1][1] = at
+                else:
+                    spans.append([at, at])
+            for a, b in spans:
+                own = set(follow[a : b + 1])
+                if 2 * len(own & other) / (len(own) + len(other)) >= threshold:
+                    out.append((i, "passage", a, name, len(own), 2 * len(own & other) / (len(own) + len(other))))
     return sorted(out, key=repr)
 
 
@@ -152,6 +165,31 @@ def test_licences(spark):
     assert licences.licensed(docs(spark, rows), templates={}).count() == 0
 
 
+def test_licences_inside_larger_files(spark):
+    """Paragraphs, comment marks, other words on the line and around the licence."""
+    known = licences.TEMPLATES
+    code = "\n".join(f"value{i} = compute(value{i - 1}, {i})" for i in range(500))
+    mit = known["MIT"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    words = known["Apache-2.0 header"].split()
+    header = "\n".join(" * " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+    bsd = "Copyright (c) 2020, Someone\n\n" + known["BSD-3-Clause full"].replace(" 2. ", "\n\n2. ").replace(" 3. ", "\n\n3. ").replace("THE COPYRIGHT HOLDERS", "SOMEONE")
+    rows = [
+        (1, f"The MIT License\n\nCopyright 2020 Foo\n\n{mit}\n"),
+        (2, f"{code}\n{mit}\n{code}"),
+        (3, f"/*\n{header}\n */\n{code}"),
+        (4, "Copyright 2020 Foo Inc. Released under the MIT License."),
+        (5, f"{code}\n\n{bsd}\n\n{code}"),
+        (6, known["ISC full"].replace(". ", ".\n\n")),
+        (7, code),
+        (8, "The conditions of the work and the use of this software are subject to the notice. " * 200),
+    ]
+    want = {1: "MIT", 2: "MIT", 3: "Apache-2.0 header", 4: "MIT notice", 5: "BSD-3-Clause full", 6: "ISC full"}
+    got = [tuple(r) for r in licences.licensed(docs(spark, rows)).collect()]
+    assert sorted(got, key=repr) == brute_licences(rows)
+    assert set(want.items()) <= {(r[0], r[3]) for r in got if r[1] == "passage"}
+    assert not [r for r in got if r[0] in (7, 8)]
+
+
 def test_op10_whole_table(spark):
     got = sorted((tuple(r) for r in queries.op10_licence_scans(spark, SF).collect()), key=repr)
     assert got == brute_licences(pairs(table(spark, SF, "documents")))
