@@ -116,7 +116,8 @@ def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in slices(batches, 1000):
             own = [counter_of(document_set(t, k)) for t in batch_rows(batch, "text")[0]]
-            counts += np.bincount(np.concatenate(own), minlength=COUNTERS)
+            met, times = np.unique(np.concatenate(own), return_counts=True)
+            counts[met] += times
         yield array_rows(counts, TaskContext.get().partitionId())
 
     counts = summed_arrays(docs.select("text").mapInArrow(count, ARRAY_ROWS), COUNTERS)
@@ -228,8 +229,8 @@ def classes(
     den: int = 100,
     id_col: str = "doc_id",
     text_col: str = "text",
-    rounds: int = 1,
-    longs: int = 4,
+    rounds: int = 2,
+    longs: int = 16,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, and component_id, the smallest
     id that is reachable over links of a Jaccard similarity >= num/den.

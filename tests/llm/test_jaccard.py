@@ -146,6 +146,18 @@ def test_family_of_near_copies_and_a_hot_passage(spark, k, num, den):
         assert got(docs(spark, rows), k, num, den) == want
 
 
+def test_no_pairs_of_long_documents_that_share_three_quarters(spark, monkeypatch):
+    """They share keys, and their sizes allow a difference that a sketch of 256
+    bits, half of them set, can't exceed; the pairs grow with the square of n."""
+    tried, verified = [], J._verified
+    monkeypatch.setattr(J, "_verified", lambda docs, nodes, pairs, *args: tried.append(pairs.count()) or verified(docs, nodes, pairs, *args))
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(760))
+    rows = [(i, passage + " " + " ".join(f"o{rng.randrange(10**9)}" for _ in range(240))) for i in range(60)]
+    assert got(docs(spark, rows), 4, 85, 100) == brute(rows, 4, 85, 100)
+    assert sum(tried) <= len(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(1, 6)] + [(200, 150), (150, 200), (9, 9)]
     found = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
