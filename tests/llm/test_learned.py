@@ -71,6 +71,22 @@ def test_op7_scores_and_verdicts(spark):
         assert r["kept"] == (not r["base_failed"] and score[r["doc_id"]] >= threshold)
 
 
+def test_every_trusted_document_counts(spark):
+    """Half of 24,000 trusted documents, those of the highest id hashes, hold a
+    word that the others do not."""
+    n = 24_000
+    ids = spark.range(n).selectExpr("id as doc_id", "ntile(2) over (order by xxhash64(id)) = 2 as late")
+    rows = ids.selectExpr("doc_id", "concat('common word ', if(late, 'late', 'early')) as text")
+    model = quality.fit(rows, ids.selectExpr("doc_id", "1 as quality", "0 as toxic"))
+    held = ids.where(quality.left_out()).count()
+    late = quality.features(quality.word_hashes([b"late"]), quality.BUCKETS)[0]
+    texts = {r["doc_id"]: r["text"].split() for r in rows.where(~quality.left_out()).collect()}
+    assert len(texts) == n - held
+    good, words = sum(t[2] == "late" for t in texts.values()), 5  # three words and two pairs each
+    expected = n // 2 * (words * len(texts)) / (words * n)
+    assert model.scores()[late] == pytest.approx(math.log(good + 2) - math.log(expected + 2), abs=1e-4)
+
+
 def test_verdicts_do_not_depend_on_the_size_of_the_table(spark):
     """Models fitted on 200, 1,000 and 10,000 documents judge the same ones."""
     kept, sfs = {}, ("sf0.001", "sf0.01", "sf0.1")
