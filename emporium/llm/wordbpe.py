@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from emporium.llm.common import mix
+from emporium.llm.common import give_back, mix
 from emporium.llm.prefixbpe import PrefixCounter
 
 # Fixed values of the tokenizer file's format: the shape it must have for its
@@ -303,4 +303,6 @@ def spread(text: str, counts: list[int]) -> np.ndarray:
 @lru_cache(maxsize=4)
 def encoder(path: str) -> WordEncoder:
     """One encoder per worker process and file."""
-    return WordEncoder(path)
+    made = WordEncoder(path)
+    give_back()  # what reading the file took
+    return made
