@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporium.functions.expressions import normalized, null_count
+from emporium.session import file_bytes
 
 ALL_COLUMNS = "*"
 
@@ -57,6 +58,18 @@ def key_text(cols: Sequence[str]) -> Column:
     return F.concat_ws(",", *map(part, cols))
 
 
+KEY_BYTES = 16 << 20  # bytes of files a partition of keys: about a million narrow rows
+
+
+def dealt_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The key columns, rows of one key in one partition, in a number of
+    partitions that follows the size of the files read.  Keys that hardly repeat
+    fill the hash map of a partial aggregation with nearly every row of a split;
+    so a task's map holds no more than its share of the keys."""
+    size = file_bytes(df)
+    return df.select(*keys).repartition(-(-size // KEY_BYTES), *keys) if size else df.select(*keys)
+
+
 def key_duplicates(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Candidate-key duplicates per table (null keys included).
 
@@ -65,7 +78,8 @@ def key_duplicates(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Dat
     out = None
     for name, (df, keys) in tables.items():
         d = (
-            df.groupBy(*keys)
+            dealt_by_key(df, keys)
+            .groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n_records"))
             .where(F.col("n_records") > 1)
             .select(

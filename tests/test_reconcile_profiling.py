@@ -11,6 +11,7 @@ from conftest import rows
 from emporium.functions.expressions import is_close, surrogate_key
 from emporium.operators import profiling as P
 from emporium.operators import reconcile as R
+from emporium.session import file_bytes
 
 
 def df(spark, data, schema):
@@ -145,6 +146,21 @@ def test_key_duplicates_distinguish_null_positions(spark):
     assert got == [("t", "a,b", '"1",null', 2)]
 
 
+def test_key_duplicates_of_larger_tables_take_more_partitions(spark, tmp_path, monkeypatch):
+    """A task counts a bounded number of keys, however large the table."""
+    monkeypatch.setattr(P, "KEY_BYTES", 20_000)
+    parts = []
+    for n in (10_000, 40_000):
+        ids = spark.range(n).selectExpr("if(id < 3, null, id) as a", "cast(id % 7 as int) as b")
+        ids.unionByName(ids.where("a % 10000 = 5")).write.parquet(str(tmp_path / str(n)))
+        d = spark.read.parquet(str(tmp_path / str(n)))
+        parts.append(P.dealt_by_key(d, ["a"]).rdd.getNumPartitions())
+        assert parts[-1] == -(-file_bytes(d) // 20_000)
+        got = rows(P.key_duplicates({"t": (d, ["a"])}), "key_value", "n_records")
+        assert got == sorted([("null", 3), *(('"%d"' % i, 2) for i in range(5, n, 10_000))], key=repr)
+    assert parts[1] >= 3 * parts[0] > 3
+
+
 def test_key_text_is_never_ambiguous(spark):
     keys = [("a|b", "c"), ("a", "b|c"), ('a","b', "c"), ("a", 'b","c'), ("null", None), (None, "null"), ("a\\", "b"), ("a", "\\b")]
     texts = [r[0] for r in df(spark, keys, "a string, b string").select(P.key_text(["a", "b"])).collect()]
