@@ -22,9 +22,11 @@ a table of 2^21 counters over all documents, which only steers the order.
 
 Verification.  Documents of equal sets are one node from the start.  First each
 node is checked against one other: of the smallest nodes at its keys, the one
-it shares most keys with.  What is linked so is one component.  This can be done
-again between components, so that families of near copies grow together at one
-check a node, before pairs are made.  Then every pair
+it shares most keys with.  What is linked so is one component.  Then, between
+components, at each key one node is drawn, not the same at all keys, and a node is
+checked against up to ``DRAWS`` of those drawn at its keys, the nearest by sketch.
+So families of near copies grow together at a few checks a node, also where most
+of them are far from any one of them, before pairs are made.  Then every pair
 of nodes that shares a key but not a component is checked.  A check asks if
 sizes and both Hamming bounds allow a link, then compares the whole shingle
 sets (64-bit hashes).
@@ -102,6 +104,7 @@ def signatures(shingles: np.ndarray, num: int, den: int, levels: np.ndarray | No
 
 
 COUNTERS = 1 << 21
+DRAWS = 3  # nodes at most that a node is checked against in a later round
 
 
 def counter_of(shingles: np.ndarray) -> np.ndarray:
@@ -172,12 +175,17 @@ def _sketches(docs: DataFrame, k: int, num: int, den: int, longs: int) -> DataFr
     return docs.mapInArrow(run, schema)
 
 
+def _excess(a: str, b: str, num: int, den: int, longs: int):
+    """How far the Hamming distance of two nodes is above the largest difference
+    of a link, times den + num."""
+    words = [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in sketch_words(longs)]
+    return sum(words[1:], words[0]) * (den + num) - (F.col(f"{a}.n") + F.col(f"{b}.n")) * (den - num)
+
+
 def _may_link(a: str, b: str, num: int, den: int, longs: int):
     """Sizes and the Hamming bound of two nodes allow a link."""
     n = lambda x: F.col(f"{x}.n")
-    words = [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in sketch_words(longs)]
-    apart = sum(words[1:], words[0])
-    return (F.least(n(a), n(b)) * den >= F.greatest(n(a), n(b)) * num) & (apart * (den + num) <= (n(a) + n(b)) * (den - num))
+    return (F.least(n(a), n(b)) * den >= F.greatest(n(a), n(b)) * num) & (_excess(a, b, num, den, longs) <= 0)
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, tried: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -236,7 +244,7 @@ def classes(
     id that is reachable over links of a Jaccard similarity >= num/den.
 
     ``rounds`` and ``longs`` never change the result: in how many rounds nodes
-    are checked against one other before all pairs that are left, and how many
+    are checked against a few others before all pairs that are left, and how many
     64-bit words the sketch has that pairs are compared by within the join."""
     spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
@@ -267,6 +275,17 @@ def classes(
         pair = both.where(_may_link("a", "b", num, den, longs)).select(F.least("p.hub", "p.id").alias("a"), F.greatest("p.hub", "p.id").alias("b"))
         return stored(pair.distinct(), "join-first")
 
+    def against_nearest(met: DataFrame, tried: DataFrame) -> DataFrame:
+        """Pairs (a, b) of each node and hubs it meets (id, hub) and was not checked
+        against: of each of ``DRAWS`` shares of them, the one nearest by sketch."""
+        both = met.distinct().alias("p").join(info.alias("a"), F.expr("p.hub = a.id")).join(info.alias("b"), F.expr("p.id = b.id"))
+        near = both.where(_may_link("a", "b", num, den, longs))
+        share = F.pmod(F.xxhash64("p.hub", F.lit(7)), F.lit(DRAWS)).alias("share")
+        pair = near.select("p.id", share, F.least("p.hub", "p.id").alias("a"), F.greatest("p.hub", "p.id").alias("b"), _excess("a", "b", num, den, longs).alias("excess"))
+        new = pair.join(tried, ["a", "b"], "left_anti")
+        first = new.groupBy("id", "share").agg(F.min_by(F.struct("a", "b"), F.struct("excess", "a", "b")).alias("x"))
+        return stored(first.select("x.*").distinct(), "join-first")
+
     tried = against_hubs(shared.where("id <> hub"))
     links = _verified(docs, nodes, tried, k, num, den)
     # an id of several sets holds them together
@@ -290,13 +309,14 @@ def classes(
         mixed = named.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("other")).where("main < other").select("key", "main")
         return named, stored(mixed, "join-mixed")
 
-    # again, each node of another component against one of a key's main component
+    # again, each node against the nearest of the nodes drawn at its keys, one a key
+    # and not the same at all keys, so that it meets many of a family
     for turn in range(1, rounds):
         named, mixed = at_mixed_keys()
         at = named.join(mixed, "key")
-        hub = at.where("label = main").groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("hub"))
-        again = against_hubs(at.where("label <> main").join(hub, "key").select("id", "hub"))
-        more = _verified(docs, nodes, again.join(tried, ["a", "b"], "left_anti"), k, num, den)
+        drawn = at.groupBy("key").agg(F.min_by(F.struct("id", "label"), F.xxhash64("id", "key", F.lit(turn))).alias("hub"))
+        again = against_nearest(at.join(drawn, "key").where("label <> hub.label").select("id", F.col("hub.id").alias("hub")), tried)
+        more = _verified(docs, nodes, again, k, num, den)
         top = merged(more).select(F.col("node").alias("l"), F.col("label").alias("top"))
         every = info.select("id").join(label.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("label", "id").alias("l"))
         after = every.join(top, "l", "left").select(F.col("id").alias("node"), F.coalesce("top", "l").alias("label")).where("node <> label")

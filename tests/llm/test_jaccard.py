@@ -158,6 +158,23 @@ def test_no_pairs_of_long_documents_that_share_three_quarters(spark, monkeypatch
     assert sum(tried) <= len(rows)
 
 
+def test_few_pairs_are_left_of_a_family_around_the_threshold(spark, monkeypatch):
+    """Copies of few and of many edits, the one of the smallest id far from most:
+    they grow together over near ones before all pairs at their keys are made."""
+    tried, verified = [], J._verified
+    monkeypatch.setattr(J, "_verified", lambda docs, nodes, pairs, *args: tried.append(pairs.count()) or verified(docs, nodes, pairs, *args))
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for _ in range(4 if i == 0 else rng.choice([0, 1, 1, 2, 2, 3, 4])):
+            own[rng.randrange(150)] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    assert got(docs(spark, rows), 5, 80, 100) == brute(rows, 5, 80, 100)
+    assert sum(tried) <= 5 * len(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(1, 6)] + [(200, 150), (150, 200), (9, 9)]
     found = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
