@@ -87,6 +87,27 @@ def test_every_trusted_document_counts(spark):
     assert model.scores()[late] == pytest.approx(math.log(good + 2) - math.log(expected + 2), abs=1e-4)
 
 
+def test_fit_stores_no_text(spark, monkeypatch):
+    """Nor does that change the threshold where ids repeat or are null."""
+    tables, stored = [], quality.stored
+    monkeypatch.setattr(quality, "stored", lambda df, name: tables.append(df.columns) or stored(df, name))
+    rows = pairs(table(spark, SF, "documents"))
+    rows += [(i, f"{t} and some more words") for i, t in rows[::3]] + [(rows[0][0], "too short"), (None, rows[1][1])]
+    labels = table(spark, SF, "labels")
+    model = quality.fit(docs(spark, rows), labels)
+    assert tables and not any("text" in columns for columns in tables)
+    trusted = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and r["toxic"] == 0}
+    held = trusted & {r["doc_id"] for r in labels.where(quality.left_out()).collect()}
+    scores: dict[int, list[float]] = {}
+    for i, t in rows:
+        words = quality.word_hashes((t or "").encode().split())
+        if i in held and not base_rules(t)[-1]:
+            scores.setdefault(i, []).append(model.scores()[quality.features(words, quality.BUCKETS)].mean(dtype=np.float64))
+    means = [np.mean(x) for x in scores.values()]
+    assert len(means) >= quality.LEAST
+    assert model.threshold == pytest.approx(np.mean(means) - 3 * np.std(means), abs=1e-6)
+
+
 def test_verdicts_do_not_depend_on_the_size_of_the_table(spark):
     """Models fitted on 200, 1,000 and 10,000 documents judge the same ones."""
     kept, sfs = {}, ("sf0.001", "sf0.01", "sf0.1")
